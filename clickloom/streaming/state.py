@@ -1,0 +1,76 @@
+"""Rows kept per micro-batch."""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+
+class BatchLog:
+    """A table that every micro-batch adds to, safe under repetition.
+
+    Each batch owns the directory ``delta/epoch=E/batch_id=N`` and overwrites it when it runs again,
+    so a retry after a failure leaves the same rows. An epoch is a fixed number of batches; its last batch
+    folds base and deltas into ``base/epoch=E+1``. A read therefore touches one base and the deltas of
+    one epoch, however long the stream has run.
+
+    Batch ids must be those of one streaming query: from 0, without gaps.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        schema: str,
+        epoch_batches: int,
+        partition_by: Sequence[str] = (),
+    ) -> None:
+        if epoch_batches < 1:
+            raise ValueError("epoch_batches must be positive")
+        self._spark = spark
+        self._path = path
+        self._schema = schema
+        self._size = epoch_batches
+        self._partition_by = list(partition_by)
+
+    def _epoch(self, batch_id: int) -> int:
+        return batch_id // self._size
+
+    def put(self, rows: DataFrame, batch_id: int) -> None:
+        """Store the rows of one batch, replacing an earlier attempt."""
+        target = f"{self._path}/delta/epoch={self._epoch(batch_id)}/batch_id={batch_id}"
+        rows.write.mode("overwrite").parquet(target)
+
+    def batch(self, batch_id: int) -> DataFrame:
+        """The stored rows of one batch."""
+        source = f"{self._path}/delta/epoch={self._epoch(batch_id)}/batch_id={batch_id}"
+        return self._spark.read.schema(self._schema).parquet(source)
+
+    def until(self, batch_id: int) -> DataFrame:
+        """Base and deltas of every batch up to and including ``batch_id``; empty for -1.
+
+        Rows come as stored, so a key may appear once per batch: aggregate when reading.
+        """
+        if batch_id < 0:
+            return self._spark.createDataFrame([], self._schema)
+        epoch = self._epoch(batch_id)
+        delta = (
+            self._spark.read.schema(f"{self._schema}, batch_id bigint")
+            .parquet(f"{self._path}/delta/epoch={epoch}")
+            .where(F.col("batch_id") <= batch_id)
+            .drop("batch_id")
+        )
+        if epoch == 0:
+            return delta
+        base = self._spark.read.schema(self._schema).parquet(f"{self._path}/base/epoch={epoch}")
+        return base.unionByName(delta)
+
+    def fold(self, batch_id: int, merge: Callable[[DataFrame], DataFrame]) -> None:
+        """Write the next base when ``batch_id`` is the last batch of its epoch."""
+        if (batch_id + 1) % self._size:
+            return
+        target = f"{self._path}/base/epoch={self._epoch(batch_id) + 1}"
+        merged = merge(self.until(batch_id))
+        merged.write.mode("overwrite").partitionBy(*self._partition_by).parquet(target)
