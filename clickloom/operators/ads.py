@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clickloom.operators.joins import hot_key_join
 from clickloom.operators.ranking import top_n_per_group
 
 
@@ -14,7 +15,7 @@ def drop_blacklisted(clicks: DataFrame, blacklist: DataFrame) -> DataFrame:
     No hint: the blacklist only ever grows, so its size decides. Beyond the broadcast limit it is a
     shuffle join whose click side the adaptive skew join splits.
     """
-    return clicks.join(blacklist.select("user_id"), "user_id", "left_anti")
+    return hot_key_join(clicks, blacklist.select("user_id"), "user_id", "left_anti")
 
 
 def daily_user_ad_clicks(clicks: DataFrame) -> DataFrame:
@@ -41,10 +42,9 @@ def clean_clicks_by_day(clicks: DataFrame, threshold: int = 100) -> DataFrame:
         over_threshold(daily_user_ad_clicks(clicks), threshold)
         .groupBy("user_id")
         .agg(F.min(F.col("date").cast("date")).alias("_crossed"))
-        .withColumnRenamed("user_id", "_user")
     )
-    later = (F.col("user_id") == F.col("_user")) & (F.col("date").cast("date") > F.col("_crossed"))
-    return clicks.join(crossed, later, "left_anti")
+    later = F.col("date").cast("date") > F.col("_crossed")
+    return hot_key_join(clicks, crossed, "user_id", "left_anti", also=later)
 
 
 def ad_stat(clicks: DataFrame) -> DataFrame:

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.operators.ranking import top_n_per_group
-from clickloom.operators.sessions import session_detail
 
 # Above this many categories the id list is joined without a broadcast hint.
 _BROADCAST_ROWS = 100_000
@@ -151,6 +150,4 @@ def top_session_detail(
     """
     ids = top.select("session_id")
     hinted = F.broadcast(ids) if most <= _BROADCAST_ROWS else ids
-    if dedupe:
-        return session_detail(hinted, actions)
-    return actions.join(hinted, "session_id")
+    return actions.join(hinted, "session_id", "left_semi" if dedupe else "inner")

@@ -70,25 +70,35 @@ def page_transitions(actions: DataFrame, slice_seconds: int = 3600) -> DataFrame
     )
 
 
-def flow_steps(spark: SparkSession, flow: Sequence[int]) -> DataFrame:
-    """(step, from_page, to_page) of a flow, as a literal table; a flow of one page has no step."""
+def _step_table(spark: SparkSession, steps: Sequence[tuple[int, int, int]]) -> DataFrame:
+    """(step, from_page, to_page) rows as a literal table."""
+    if not steps:
+        return spark.createDataFrame([], "step int, from_page bigint, to_page bigint")
     rows = [
         F.struct(
             F.lit(step).alias("step"),
             F.lit(a).cast("bigint").alias("from_page"),
             F.lit(b).cast("bigint").alias("to_page"),
         )
-        for step, (a, b) in enumerate(zip(flow, flow[1:]), start=1)
+        for step, a, b in steps
     ]
-    if not rows:
-        return spark.createDataFrame([], "step int, from_page bigint, to_page bigint")
-    return spark.range(1).select(F.inline(F.array(*rows)))
+    return spark.range(1, numPartitions=1).select(F.inline(F.array(*rows)))
+
+
+def flow_steps(spark: SparkSession, flow: Sequence[int]) -> DataFrame:
+    """(step, from_page, to_page) of a flow; a flow of one page has no step."""
+    pairs = zip(flow, flow[1:])
+    return _step_table(spark, [(step, a, b) for step, (a, b) in enumerate(pairs, start=1)])
 
 
 def match_flow(transitions: DataFrame, flow: Sequence[int]) -> DataFrame:
-    """Transitions that are a step of the flow. The broadcast side has one row per step of the parameter."""
-    pairs = flow_steps(transitions.sparkSession, flow).select("from_page", "to_page").distinct()
-    return transitions.join(F.broadcast(pairs), ["from_page", "to_page"])
+    """Transitions that are a step of the flow; a step the flow repeats matches once.
+
+    The broadcast side has one row per step of the parameter.
+    """
+    pairs = dict.fromkeys(zip(flow, flow[1:]))
+    steps = _step_table(transitions.sparkSession, [(0, a, b) for a, b in pairs])
+    return transitions.join(F.broadcast(steps.drop("step")), ["from_page", "to_page"])
 
 
 def page_split_pv(actions: DataFrame, flow: Sequence[int]) -> DataFrame:

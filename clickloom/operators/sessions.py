@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.functions import format_time, is_not_empty, parse_time, ratio
+from clickloom.operators.joins import hot_key_join
 
 # Histogram buckets as (name, lowest value, first value above the bucket).
 VISIT_LENGTH_BUCKETS = (
@@ -95,7 +96,7 @@ def session_text(sessions: DataFrame) -> DataFrame:
 
 def session_detail(sessions: DataFrame, actions: DataFrame) -> DataFrame:
     """Actions of the given sessions."""
-    return actions.join(sessions.select("session_id"), "session_id", "left_semi")
+    return hot_key_join(actions, sessions.select("session_id"), "session_id", "left_semi")
 
 
 def session_detail_columns(actions: DataFrame, task_id: int) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -15,6 +15,7 @@ from clickloom.operators.ads import (
     daily_user_ad_clicks,
     drop_blacklisted,
 )
+from clickloom.sinks import replace_partitions
 from clickloom.streaming.state import BatchLog
 
 _CLICK = "ts timestamp, date string, province string, city string, user_id bigint, ad_id bigint"
@@ -34,7 +35,8 @@ class AdClickStream:
     A batch is filtered by the blacklist as it stood before the batch. Clicks of the batch in which a user
     reaches ``threshold`` on one ad and day are kept; later batches of that user are dropped for
     every ad. ``keep_days`` drops totals of dates that much older than the newest one when an epoch
-    ends; by default nothing is dropped.
+    ends; by default nothing is dropped. With ``publish_to``, every batch also rewrites the tables
+    ``ad_stat``, ``ad_province_top3`` and ``ad_click_trend`` there, for the dates it touched.
     """
 
     def __init__(
@@ -44,8 +46,10 @@ class AdClickStream:
         threshold: int = 100,
         epoch_batches: int = 360,
         keep_days: int | None = None,
+        publish_to: str | None = None,
     ) -> None:
         self._threshold = threshold
+        self._publish_to = publish_to
         self._keep_days = keep_days
 
         def log(name: str, schema: str, partition_by: tuple[str, ...] = ()) -> BatchLog:
@@ -70,7 +74,12 @@ class AdClickStream:
         self._stat.put(ad_stat(clean), batch_id)
         self._trend.put(ad_click_trend(clean), batch_id)
 
-        over = ad_blacklist(self._batch_totals(batch_id), self._threshold)
+        # Two values come to the driver; they become literals that prune the date partitions of the bases.
+        first, last = self._counts.batch(batch_id).agg(F.min("date"), F.max("date")).first()
+        dates = F.col("date").between(first, last)
+
+        totals = self._batch_totals(batch_id, dates)
+        over = ad_blacklist(totals, self._threshold)
         new = over.withColumn("crossed_in", F.lit(batch_id).cast("bigint"))
         self._blacklist.put(new, batch_id)
 
@@ -78,14 +87,25 @@ class AdClickStream:
         for table in (self._counts, self._stat, self._trend):
             table.fold(batch_id, lambda rows: self._recent(_total(rows)))
 
-    def _batch_totals(self, batch_id: int) -> DataFrame:
+        if self._publish_to and first is not None:
+            self._publish(batch_id, dates)
+
+    def _batch_totals(self, batch_id: int, dates: Column) -> DataFrame:
         """Running totals of the (date, user, ad) keys that occur in this batch."""
-        fresh = self._counts.batch(batch_id)
-        # Two values come to the driver; they become literals that prune the date partitions of the base.
-        low, high = fresh.agg(F.min("date"), F.max("date")).first()
         keys = ["date", "user_id", "ad_id"]
-        stored = self._counts.until(batch_id).where(F.col("date").between(low, high))
-        return _total(stored.join(fresh.select(*keys), keys, "left_semi"))
+        fresh = self._counts.batch(batch_id).select(*keys)
+        stored = self._counts.until(batch_id).where(dates)
+        return _total(stored.join(fresh, keys, "left_semi"))
+
+    def _publish(self, batch_id: int, dates: Column) -> None:
+        stat = self.ad_stat(batch_id).where(dates)
+        tables = {
+            "ad_stat": stat,
+            "ad_province_top3": ad_province_top(ad_province_counts(stat)),
+            "ad_click_trend": self.ad_click_trend(batch_id).where(dates),
+        }
+        for name, rows in tables.items():
+            replace_partitions(rows, f"{self._publish_to}/{name}", ["date"])
 
     def _recent(self, totals: DataFrame) -> DataFrame:
         if self._keep_days is None:

@@ -54,7 +54,8 @@ class BatchLog:
         Rows come as stored, so a key may appear once per batch: aggregate when reading.
         """
         if batch_id < 0:
-            return self._spark.createDataFrame([], self._schema)
+            # The constant filter turns this into an empty relation, which the optimizer removes from joins.
+            return self._spark.createDataFrame([], self._schema).where(F.lit(False))
         epoch = self._epoch(batch_id)
         delta = (
             self._spark.read.schema(f"{self._schema}, batch_id bigint")
