@@ -66,7 +66,7 @@ class BatchLog:
         if epoch == 0:
             return delta
         base = self._spark.read.schema(self._schema).parquet(f"{self._path}/base/epoch={epoch}")
-        return base.unionByName(delta)
+        return delta.unionByName(base)
 
     def fold(self, batch_id: int, merge: Callable[[DataFrame], DataFrame]) -> None:
         """Write the next base when ``batch_id`` is the last batch of its epoch."""
