@@ -1,7 +1,7 @@
 """Time the registered queries: one JSON line on stdout.
 
 BENCH_SF_DIR: table folder (default /root/testdata/sf0.1); BENCH_CPUS: cores (default 8);
-BENCH_RUNS: timed runs per query, the median counts (default 3, after one warm-up);
+BENCH_RUNS: timed runs per query after one warm-up, the median counts (default 1);
 BENCH_QUERIES: comma list to restrict the run. Streams are timed once: a replay keeps its own state.
 """
 
@@ -27,7 +27,7 @@ def _seconds(query, spark: SparkSession, sf_dir: str) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "1"))
     wanted = os.environ.get("BENCH_QUERIES")
     names = wanted.split(",") if wanted else list(QUERIES)
     spark = (

@@ -285,6 +285,10 @@ def oracle_sql() -> dict[str, str]:
         ),
         "filtered_sessions": _sessions(f"SELECT {_FULL} FROM full_sessions WHERE {every}"),
         "session_detail": _sessions(f"SELECT {_DETAIL} FROM detail"),
+        "filtered_session_detail": _sessions(
+            f"SELECT {_DETAIL} FROM user_visit_action"
+            f" WHERE session_id IN (SELECT session_id FROM full_sessions WHERE {every})"
+        ),
         "visit_length_buckets": _buckets("visit_length", _VISIT),
         "step_length_buckets": _buckets("step_length", _STEP),
         "session_aggr_stat": _sessions(

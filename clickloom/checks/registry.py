@@ -75,11 +75,13 @@ def _detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sessions.session_detail(_picked(spark, sf_dir), fx.user_visit_action(spark, sf_dir))
 
 
-def _analysis(spark: SparkSession, sf_dir: str) -> SessionAnalysis:
+def _analysis(
+    spark: SparkSession, sf_dir: str, params: TaskParams = PARAMS
+) -> SessionAnalysis:
     return SessionAnalysis(
         fx.user_visit_action(spark, sf_dir),
         fx.user_info(spark, sf_dir),
-        PARAMS,
+        params,
         TASK,
         sample_total=TOTAL,
         seed=SEED,
@@ -160,6 +162,11 @@ def _session_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _analysis(spark, sf_dir).detail()
 
 
+@_query("filtered_session_detail")
+def _filtered_session_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _analysis(spark, sf_dir, EVERY_FILTER).detail()
+
+
 @_query("visit_length_buckets")
 def _visit_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sessions.visit_length_buckets(_picked(spark, sf_dir))

@@ -43,13 +43,20 @@ def equal_param(col: Column, value: str | None) -> Column:
     return col == value
 
 
-def filter_sessions(sessions: DataFrame, params: TaskParams) -> DataFrame:
-    """Sessions (joined with their users) that pass every given parameter."""
-    return sessions.where(
+def user_filter(params: TaskParams) -> Column:
+    """The four parameters about the user."""
+    return (
         between_param(F.col("age"), params.start_age, params.end_age)
         & any_of(F.col("professional"), params.professionals)
         & any_of(F.col("city"), params.cities)
         & any_of(F.col("sex"), params.sex)
+    )
+
+
+def filter_sessions(sessions: DataFrame, params: TaskParams) -> DataFrame:
+    """Sessions (joined with their users) that pass every given parameter."""
+    return sessions.where(
+        user_filter(params)
         & any_of_list(F.col("search_keywords"), params.keywords)
         & any_of_list(F.col("click_category_ids"), params.category_ids)
     )

@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.functions import format_time, is_not_empty, parse_time, ratio
+from clickloom.operators.filters import any_of
 from clickloom.operators.joins import hot_key_join
+from clickloom.params import TaskParams
 
 # Histogram buckets as (name, lowest value, first value above the bucket).
 VISIT_LENGTH_BUCKETS = (
@@ -45,33 +47,57 @@ DETAIL_COLUMNS = (
 )
 
 
+def _per_session(actions: DataFrame, *more: Column) -> DataFrame:
+    """One row per session: user, times, length and steps, and the aggregates in ``more``.
+
+    Times are aggregated as timestamps, not text, which keeps the hash aggregate usable.
+    """
+    start, end = F.min("_time"), F.max("_time")
+    return (
+        actions.withColumn("_time", parse_time(F.col("action_time")))
+        .groupBy("session_id")
+        .agg(
+            F.min("user_id").alias("user_id"),
+            *more,
+            start.alias("start_time"),
+            end.alias("end_time"),
+            (F.unix_seconds(end) - F.unix_seconds(start)).alias("visit_length"),
+            F.count(F.lit(1)).alias("step_length"),
+        )
+    )
+
+
 def session_aggregate(actions: DataFrame) -> DataFrame:
     """One row per session: user, searched keywords, clicked categories, times, length, steps.
 
-    Times are aggregated as timestamps, not text, which keeps the hash aggregate usable. When a
-    consumer does not read the two lists, Catalyst removes them and only numbers are shuffled.
+    When a consumer does not read the two lists, Catalyst removes them and only numbers are shuffled. To
+    filter by keyword or category, :func:`session_matches` needs no lists at all.
     """
-    timed = actions.select(
-        "session_id",
-        "user_id",
-        "search_keyword",
-        "click_category_id",
-        parse_time(F.col("action_time")).alias("_time"),
-    )
     keyword = F.when(is_not_empty(F.col("search_keyword")), F.col("search_keyword"))
     category = F.col("click_category_id").cast("string")
-    start, end = F.min("_time"), F.max("_time")
-    return timed.groupBy("session_id").agg(
-        F.min("user_id").alias("user_id"),
+    return _per_session(
+        actions,
         F.sort_array(F.collect_set(keyword)).alias("search_keywords"),
         F.sort_array(F.collect_set(category)).alias("click_category_ids"),
-        start.alias("start_time"),
-        end.alias("end_time"),
-        (F.unix_seconds(end) - F.unix_seconds(start)).alias("visit_length"),
-        F.count(F.lit(1)).alias("step_length"),
     )
 
 
+def session_matches(actions: DataFrame, params: TaskParams) -> DataFrame:
+    """Sessions with a searched keyword and a clicked category among those of ``params``, without lists.
+
+    The same sessions as filtering :func:`session_aggregate` by the two parameters. A session carries two
+    flags through the shuffle, however many keywords it has.
+    """
+    keyword = any_of(F.col("search_keyword"), params.keywords)
+    category = any_of(F.col("click_category_id").cast("string"), params.category_ids)
+    flagged = _per_session(
+        actions,
+        F.bool_or(keyword).alias("_keyword"),
+        F.bool_or(category).alias("_category"),
+    )
+    return flagged.where(F.col("_keyword") & F.col("_category")).drop("_keyword", "_category")
+
+
 def session_with_user(sessions: DataFrame, users: DataFrame) -> DataFrame:
     """Add the user's age, professional, city and sex; sessions of unknown users drop out.
 

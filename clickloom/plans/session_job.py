@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.operators import categories, sampling, sessions
-from clickloom.operators.filters import filter_sessions
+from clickloom.operators.filters import filter_sessions, user_filter
 from clickloom.params import TaskParams
 from clickloom.sinks import write_result
 from clickloom.sources import actions_by_date
@@ -18,9 +18,9 @@ from clickloom.sources import actions_by_date
 class SessionAnalysis:
     """Results of one session task. Every result is a lazy DataFrame; nothing is collected.
 
-    The filtered sessions feed all results. Only what most of them read, the narrow numeric columns, is worth
-    keeping; :meth:`write_all` caches that part. Detail rows are never cached: they are fetched from the
-    action log by the few ids asked for.
+    The filtered sessions feed all results. Only their numeric columns are worth keeping, and
+    :meth:`write_all` caches those. Detail rows are never cached: they are fetched from the action log by
+    the few ids asked for.
     """
 
     def __init__(
@@ -49,7 +49,10 @@ class SessionAnalysis:
 
     @cached_property
     def _narrow(self) -> DataFrame:
-        return self.sessions.select("session_id", "start_time", "visit_length", "step_length")
+        """The same sessions without their lists, which are expensive and which few results show."""
+        matching = sessions.session_matches(self._actions, self._params)
+        full = sessions.session_with_user(matching, self._users).where(user_filter(self._params))
+        return full.select("session_id", "start_time", "visit_length", "step_length")
 
     def detail(self) -> DataFrame:
         return sessions.session_detail_columns(self._detail(), self._task_id)

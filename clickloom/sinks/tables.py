@@ -10,6 +10,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def rebalanced(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Bring the rows of a table partition together, so that it gets few files.
+
+    Adaptive execution splits a partition that holds too much and merges small ones.
+    """
+    return df.hint("rebalance", *by)
+
+
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Add rows to a Parquet table."""
     df.write.mode("append").partitionBy(*partition_by).parquet(path)
@@ -26,7 +34,8 @@ def replace_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
     Repeating the call with the same rows leaves the same table.
     """
     (
-        df.write.mode("overwrite")
+        rebalanced(df, by)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*by)
         .parquet(path)

@@ -7,6 +7,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickloom.sinks.tables import rebalanced
+
 
 class BatchLog:
     """A table that every micro-batch adds to, safe under repetition.
@@ -73,5 +75,5 @@ class BatchLog:
         if (batch_id + 1) % self._size:
             return
         target = f"{self._path}/base/epoch={self._epoch(batch_id) + 1}"
-        merged = merge(self.until(batch_id))
+        merged = rebalanced(merge(self.until(batch_id)), self._partition_by)
         merged.write.mode("overwrite").partitionBy(*self._partition_by).parquet(target)

@@ -131,6 +131,32 @@ def test_filters(people, given, kept):
     assert sorted(row.session_id for row in got) == sorted(kept)
 
 
+@pytest.mark.parametrize(
+    "given",
+    [{}, {"keywords": "kw1"}, {"category_ids": "3,4"}, {"keywords": "kw1", "category_ids": "3"},
+     {"keywords": ","}],
+)
+def test_flags_keep_the_sessions_the_lists_keep(spark, given):
+    log = actions(
+        spark,
+        [
+            action("a", 0, search_keyword="kw1"),
+            action("a", 1, click_category_id=3),
+            action("b", 0, search_keyword="kw11", click_category_id=3),
+            action("c", 0, search_keyword="kw1", click_category_id=33),
+            action("d", 0, search_keyword=""),
+        ],
+    )
+    params = TaskParams("2024-01-01", "2024-01-02", **given)
+    lists = sessions.session_aggregate(log).where(
+        filters.any_of_list(F.col("search_keywords"), params.keywords)
+        & filters.any_of_list(F.col("click_category_ids"), params.category_ids)
+    )
+    flags = sessions.session_matches(log, params)
+    assert "collect_set" not in flags._jdf.queryExecution().executedPlan().toString()
+    assert sorted(flags.collect()) == sorted(lists.select(flags.columns).collect())
+
+
 def test_equal_param(people):
     assert people.where(filters.equal_param(F.col("sex"), "male")).count() == 3
     assert people.where(filters.equal_param(F.col("sex"), None)).count() == 4
