@@ -28,5 +28,5 @@ class FunnelAnalysis:
     def rate_string(self) -> DataFrame:
         return funnel.page_convert_rate_string(self.rates(), self._task_id)
 
-    def write_all(self, root: str) -> None:
-        write_result(self.rate_string(), root, "page_split_convert_rate", self._task_id)
+    def write_all(self, root: str, replace: bool = False) -> None:
+        write_result(self.rate_string(), root, "page_split_convert_rate", self._task_id, replace)

@@ -39,5 +39,5 @@ class ProductAnalysis:
         top = products.area_top_products(enriched, n, self._levels, self._default)
         return top.select(F.lit(self._task_id).cast("bigint").alias("taskid"), "*")
 
-    def write_all(self, root: str) -> None:
-        write_result(self.top_products(), root, "area_top3_product", self._task_id)
+    def write_all(self, root: str, replace: bool = False) -> None:
+        write_result(self.top_products(), root, "area_top3_product", self._task_id, replace)

@@ -104,8 +104,8 @@ class SessionAnalysis:
     def _tasked(self, df: DataFrame) -> DataFrame:
         return df.select(F.lit(self._task_id).cast("bigint").alias("taskid"), "*")
 
-    def write_all(self, root: str) -> None:
-        """Store the six results below ``root``."""
+    def write_all(self, root: str, replace: bool = False) -> None:
+        """Store the results below ``root``; with ``replace``, in place of an earlier run of the task."""
         cached = [self._narrow, self._sampled_ids, self._top_categories, self._top_sessions]
         for df in cached:
             df.persist(StorageLevel.MEMORY_AND_DISK)
@@ -113,12 +113,11 @@ class SessionAnalysis:
             for name, result in (
                 ("session_aggr_stat", self.aggr_stat()),
                 ("session_random_extract", self.random_extract()),
-                ("session_detail", self.sample_detail()),
                 ("top10_category", self.top_categories()),
                 ("top10_category_session", self.top_sessions()),
-                ("session_detail", self.top_session_detail()),
+                ("session_detail", self.sample_detail().unionByName(self.top_session_detail())),
             ):
-                write_result(result, root, name, self._task_id)
+                write_result(result, root, name, self._task_id, replace)
         finally:
             for df in cached:
                 df.unpersist()

@@ -70,10 +70,13 @@ def upsert(df: DataFrame, path: str, keys: Sequence[str], partition_by: Sequence
     replace_partitions(merged, path, partition_by)
 
 
-def write_result(df: DataFrame, root: str, name: str, task_id: int) -> None:
-    """Append a result to ``root/name``, kept in a directory per task.
+def write_result(
+    df: DataFrame, root: str, name: str, task_id: int, replace: bool = False
+) -> None:
+    """Add a result to ``root/name``, kept in a directory per task.
 
-    Running a task again adds its rows again; use :func:`replace_partitions` by ``taskid`` to rerun cleanly.
+    Running a task again adds its rows again, or takes the place of its earlier rows with ``replace``.
     """
     with_task = df if "taskid" in df.columns else df.withColumn("taskid", F.lit(task_id).cast("bigint"))
-    append(with_task, f"{root}/{name}", ["taskid"])
+    write = replace_partitions if replace else append
+    write(with_task, f"{root}/{name}", ["taskid"])

@@ -66,3 +66,5 @@ def test_results_are_appended_per_task(spark, path):
     sinks.write_result(df, path, "r", 5)
     got = spark.read.parquet(f"{path}/r").groupBy("taskid").count().orderBy("taskid").collect()
     assert [tuple(r) for r in got] == [(4, 2), (5, 1)]
+    sinks.write_result(df, path, "r", 4, replace=True)
+    assert spark.read.parquet(f"{path}/r").where("taskid = 4").count() == 1
