@@ -14,7 +14,9 @@ def spark():
     session = (
         SparkSession.builder.master("local[8]")
         .appName("clickloom-tests")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
+        # Hand-made tables have a few rows: two slices are enough.
+        .config("spark.default.parallelism", "2")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "6g")

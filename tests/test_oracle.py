@@ -11,7 +11,7 @@ import pytest
 
 import __spark_entry__ as contract
 
-SF_DIR = "/root/testdata/sf0.001"
+SF_DIR = "/root/testdata/sf0.01"
 QUERIES = contract.queries()
 ORACLES = contract.oracle_sql()
 
