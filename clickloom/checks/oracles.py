@@ -283,6 +283,7 @@ def oracle_sql() -> dict[str, str]:
         "session_filter_lists": _sessions(
             f"SELECT {_FULL} FROM full_sessions WHERE {keywords} AND {categories}"
         ),
+        "session_filter_equal": _sessions(f"SELECT {_FULL} FROM full_sessions WHERE sex = 'male'"),
         "filtered_sessions": _sessions(f"SELECT {_FULL} FROM full_sessions WHERE {every}"),
         "session_detail": _sessions(f"SELECT {_DETAIL} FROM detail"),
         "filtered_session_detail": _sessions(
@@ -350,6 +351,12 @@ def oracle_sql() -> dict[str, str]:
             " FROM rates WHERE step > 0",
             FLOW,
         ),
+        "page_convert_rate_string": _with(
+            "SELECT cast(1 AS bigint) AS taskid, string_agg(from_page || '_' || to_page || '=' ||"
+            " cast(((200 * pv + previous) // (2 * previous)) / 100.0::double AS varchar), '|'"
+            " ORDER BY step) AS convert_rate FROM rates WHERE step > 0",
+            FLOW,
+        ),
         # products
         "click_with_city": _with("SELECT * FROM placed", PRODUCTS),
         "area_product_clicks": _with("SELECT * FROM area_counts", PRODUCTS),
@@ -375,6 +382,13 @@ def oracle_sql() -> dict[str, str]:
             ADS,
         ),
         "ad_click_trend": _with("SELECT * FROM trend", ADS),
+        "ad_trend_last_hour": _with(
+            "SELECT * FROM trend WHERE cast(date || ' ' || hour || ':' || minute || ':00' AS timestamp)"
+            " > timestamp '2024-01-15 11:30:00'"
+            " AND cast(date || ' ' || hour || ':' || minute || ':00' AS timestamp)"
+            " <= timestamp '2024-01-15 12:30:00'",
+            ADS,
+        ),
         # streams: the final state of a replay
         "ad_stat_stream": _with("SELECT * FROM stat", ADS),
         "ad_trend_stream": _with("SELECT * FROM trend", ADS),
@@ -409,6 +423,24 @@ def oracle_sql() -> dict[str, str]:
             " strftime(ts, '%Y%m%d') AS day_key, strftime(ts, '%Y%m%d%H%M') AS minute_key,"
             " strftime(ts, '%Y-%m-%d_%H') AS day_hour FROM events"
         ),
+        "time_compare": _with(
+            "SELECT session_id, action_time,"
+            " coalesce(cast(cast(action_time AS timestamp) < noon AS int), 0) AS is_before,"
+            " coalesce(cast(cast(action_time AS timestamp) > noon AS int), 0) AS is_after,"
+            " coalesce(date_diff('second', noon, cast(action_time AS timestamp)), 0) AS seconds FROM ("
+            " SELECT *, CASE WHEN page_id < 3 THEN cast(date || ' 01:00:00' AS timestamp) END AS noon"
+            " FROM user_visit_action) x"
+        ),
+        "parse_times": _with(
+            "SELECT session_id, action_time AS time, CASE WHEN page_id < 3 THEN date END AS day"
+            " FROM user_visit_action"
+        ),
+        "empty_text": _with(
+            "SELECT session_id, CASE WHEN coalesce(text, '') = '' THEN 1 ELSE 0 END AS is_empty,"
+            " CASE WHEN coalesce(text, '') = '' THEN 0 ELSE 1 END AS is_not_empty FROM ("
+            " SELECT session_id, CASE WHEN click_category_id % 2 = 0 THEN '' ELSE search_keyword END"
+            " AS text FROM user_visit_action) x"
+        ),
         "trim_comma": _with(
             "SELECT session_id, regexp_replace(',' || coalesce(order_category_ids, ',') || ',', '^,|,$',"
             " '', 'g') AS text FROM user_visit_action"

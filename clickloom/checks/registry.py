@@ -152,6 +152,14 @@ def _session_filter_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sessions.session_text(kept)
 
 
+@_query("session_filter_equal")
+def _session_filter_equal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = _sessions(spark, sf_dir).where(
+        filters.equal_param(F.col("sex"), "male") & filters.equal_param(F.col("city"), None)
+    )
+    return sessions.session_text(kept)
+
+
 @_query("filtered_sessions")
 def _filtered_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sessions.session_text(filters.filter_sessions(_sessions(spark, sf_dir), EVERY_FILTER))
@@ -290,6 +298,11 @@ def _page_convert_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return FunnelAnalysis(fx.user_visit_action(spark, sf_dir), PARAMS, TASK).rates()
 
 
+@_query("page_convert_rate_string")
+def _page_convert_rate_string(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return FunnelAnalysis(fx.user_visit_action(spark, sf_dir), PARAMS, TASK).rate_string()
+
+
 # --- products -----------------------------------------------------------------
 
 
@@ -379,6 +392,11 @@ def _ad_click_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ads.ad_click_trend(fx.ad_click_log(spark, sf_dir))
 
 
+@_query("ad_trend_last_hour")
+def _ad_trend_last_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ads.last_hour(ads.ad_click_trend(fx.ad_click_log(spark, sf_dir)), "2024-01-15 12:30:00")
+
+
 # --- streams: replay of the whole table, the result is the final state ----------
 
 
@@ -496,3 +514,40 @@ def _pad2(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     number = F.regexp_extract("props", "([0-9]+)", 1)
     return events.select("event_id", fn.pad2(number).alias("text"))
+
+
+@_query("time_compare")
+def _time_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = fx.user_visit_action(spark, sf_dir)
+    time = F.col("action_time")
+    # The second text is unreadable for pages 3 and 4.
+    noon = F.concat("date", F.when(F.col("page_id") < 3, " 1:00:00").otherwise(" late"))
+    return log.select(
+        "session_id",
+        "action_time",
+        fn.before(time, noon).cast("int").alias("is_before"),
+        fn.after(time, noon).cast("int").alias("is_after"),
+        fn.minus_seconds(time, noon).alias("seconds"),
+    )
+
+
+@_query("parse_times")
+def _parse_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = fx.user_visit_action(spark, sf_dir)
+    key = F.when(F.col("page_id") < 3, F.replace("date", F.lit("-"), F.lit(""))).otherwise("soon")
+    return log.select(
+        "session_id",
+        fn.format_time(fn.parse_time(F.col("action_time"))).alias("time"),
+        fn.parse_date_key(key).cast("string").alias("day"),
+    )
+
+
+@_query("empty_text")
+def _empty_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Null for other events, empty for clicks on even categories.
+    text = F.when(F.col("click_category_id") % 2 == 0, "").otherwise(F.col("search_keyword"))
+    return fx.user_visit_action(spark, sf_dir).select(
+        "session_id",
+        fn.is_empty(text).cast("int").alias("is_empty"),
+        fn.is_not_empty(text).cast("int").alias("is_not_empty"),
+    )

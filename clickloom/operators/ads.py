@@ -89,7 +89,12 @@ def ad_click_trend(clicks: DataFrame) -> DataFrame:
 
 
 def last_hour(trend: DataFrame, now: str) -> DataFrame:
-    """Trend rows of the 60 minutes before the time text ``now``."""
+    """Trend rows of the 60 minutes before the time text ``now``.
+
+    The condition on the date is implied by the others; it prunes the partitions of a stored trend.
+    """
     minute = F.concat_ws(" ", "date", F.concat_ws(":", "hour", "minute", F.lit("00"))).cast("timestamp")
     end = F.lit(now).cast("timestamp")
-    return trend.where((minute > end - F.expr("interval 60 minutes")) & (minute <= end))
+    start = end - F.expr("interval 60 minutes")
+    days = F.col("date").between(start.cast("date").cast("string"), end.cast("date").cast("string"))
+    return trend.where(days & (minute > start) & (minute <= end))

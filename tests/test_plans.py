@@ -51,6 +51,15 @@ def test_date_range_reaches_the_scan(spark, tmp_path):
     assert "GreaterThanOrEqual(ts" in raw and "LessThan(ts" in raw
 
 
+def test_last_hour_prunes_days(spark, tmp_path):
+    trend = ads.ad_click_trend(fx.ad_click_log(spark, SF_DIR))
+    trend.write.partitionBy("date").parquet(f"{tmp_path}/trend")
+    stored = spark.read.schema(trend.schema).parquet(f"{tmp_path}/trend")
+    plan = planned(ads.last_hour(stored, "2024-01-15 00:30:00"))
+    filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "2024-01-14" in filters and "2024-01-15" in filters
+
+
 def test_statistics_read_no_lists_and_aggregate_by_hash(spark):
     plan = planned(QUERIES["session_aggr_stat"](spark, SF_DIR))
     assert "collect_set" not in plan and "SortAggregate" not in plan
