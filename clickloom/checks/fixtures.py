@@ -18,9 +18,9 @@ def _events(events: DataFrame) -> DataFrame:
         "event_type",
         "cast(regexp_extract(props, '([0-9]+)', 1) as bigint) k",
         "cast(cast(ts as date) as string) d",
-        "cast(floor((extract(hour from ts) * 3600 + extract(minute from ts) * 60"
-        " + floor(extract(second from ts)))"
-        " / (case user_id % 3 when 0 then 20 when 1 then 600 else 60 end)) as bigint) n",
+        # Whole seconds of the day, divided so that sessions of all lengths occur.
+        "(hour(ts) * 3600 + minute(ts) * 60 + second(ts))"
+        " div (case user_id % 3 when 0 then 20 when 1 then 600 else 60 end) n",
     )
 
 
@@ -38,9 +38,9 @@ def user_visit_action(
         "user_id",
         "cast(user_id as string) || '_' || replace(d, '-', '') as session_id",
         "k % 5 as page_id",
-        "d || ' ' || lpad(cast(cast(floor(n / 3600) as bigint) as string), 2, '0')"
-        " || ':' || lpad(cast(cast(floor(n / 60) as bigint) % 60 as string), 2, '0')"
-        " || ':' || lpad(cast(n % 60 as string), 2, '0') as action_time",
+        "concat(d, ' ', lpad(cast(n div 3600 as string), 2, '0'),"
+        " ':', lpad(cast(n div 60 % 60 as string), 2, '0'),"
+        " ':', lpad(cast(n % 60 as string), 2, '0')) as action_time",
         "case when event_type = 'view' then 'kw' || cast(k % 10 as string) end as search_keyword",
         "case when event_type = 'click' then k end as click_category_id",
         "case when event_type = 'click' then event_id % 100 end as click_product_id",
