@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import binary, fingerprints, mixing, oracles, packing, quality
+from clickloom.llm import binary, fingerprints, mixing, ngram_join, oracles, packing, quality
 from clickloom.llm.columns import word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,12 @@ def vocabulary(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+@_query
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents linked by 0.9 of their 3-word shingles."""
+    return ngram_join.jaccard_components(_table(spark, sf_dir, "documents"), words=3, percent=90)
+
+
 @_query
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents over sequences of 1024 ids."""
