@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import binary, fingerprints, mixing, ngram_join, oracles, packing, quality
+from clickloom.llm import binary, fingerprints, mixing, ngram_join, oracles, packing, quality, substring_dedup
 from clickloom.llm.columns import word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,6 +22,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@_query
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that are left when repeated windows go."""
+    return substring_dedup.remove_repeats(_table(spark, sf_dir, "documents")).drop("kept_text")
+
+
 def vocabulary(name: str = "byte_bpe_50k.json") -> str:
     """Path of a public vocabulary file."""
     import public_tokenizers
