@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import binary, fingerprints, mixing, ngram_join, oracles, packing, quality, substring_dedup
+from clickloom.llm import (
+    binary,
+    fingerprints,
+    licenses,
+    mixing,
+    ngram_join,
+    oracles,
+    packing,
+    quality,
+    site_tree,
+    substring_dedup,
+    surrogates,
+)
 from clickloom.llm.columns import word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,6 +34,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@_query
+def op2_site_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return site_tree.extract(_table(spark, sf_dir, "pages"))
+
+
 @_query
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that are left when repeated windows go."""
@@ -57,6 +75,12 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License blocks of all documents."""
+    return licenses.scan(_table(spark, sf_dir, "documents"))
+
+
 @_query
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
@@ -66,6 +90,13 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def op8_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with surrogates for personal data."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return surrogates.replace_entities(docs)
+
+
 @_query
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents and of their edited texts."""
