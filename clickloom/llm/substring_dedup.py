@@ -128,14 +128,18 @@ def _segments(docs: DataFrame, shared: DataFrame) -> DataFrame:
                 often = known[np.array(flags, bool)]
                 wanted = np.isin(found, known)
                 split = np.isin(found, often)
-                new = np.concatenate([[True], place[1:] != place[:-1]]) if len(place) else place.astype(bool)
+                if not wanted.any():
+                    continue
+                new = np.concatenate([[True], place[1:] != place[:-1]])
                 starts = np.flatnonzero(wanted & (new | split))
-                stops = np.flatnonzero(wanted & np.concatenate([new[1:] | split[1:], [True]])) if len(place) else starts
-                keys = np.where(split[starts], gram_hashes(hashes, WINDOW)[starts], found[starts])
+                stops = np.flatnonzero(wanted & np.concatenate([new[1:] | split[1:], [True]]))
+                windows = gram_hashes(hashes, WINDOW)
+                keys = np.where(split[starts], windows[starts], found[starts])
+                # A segment's windows share a word, so its first and its last one tell all its words.
+                contents = mix(windows[starts] + (stops - starts).astype(np.uint64)) ^ windows[stops]
                 words = text.split()
-                for key, a, b in zip(keys.view(np.int64).tolist(), starts.tolist(), stops.tolist(), strict=True):
-                    span = hashes[a : b + WINDOW]
-                    content = int(mix(span + np.arange(1, len(span) + 1, dtype=np.uint64)).sum(dtype=np.uint64).view(np.int64))
+                places = (keys.view(np.int64), contents.view(np.int64), starts, stops)
+                for key, content, a, b in zip(*(x.tolist() for x in places), strict=True):
                     best = seen.get((key, content))
                     if best is None or doc < best:
                         if len(seen) >= SEEN:
