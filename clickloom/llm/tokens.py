@@ -11,19 +11,32 @@ import numpy as np
 
 # The code points of the Unicode property White_Space.
 WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-CACHED_PIECES = 200_000
+# Ranges of letters, and ASCII signs but the apostrophe, which may join a word's end.
+LETTERS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f"
+SIGNS = r"!-&(-/:-@\[-`{-~"
+CACHED_PIECES = 300_000
 CACHED_LENGTH = 48
 BATCH_CHARS = 1_000_000
 
 
+def _byte_alphabet() -> list[str]:
+    """The character that a byte-level vocabulary writes for each byte: printable ones as they are, others from 256 on."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in shown]
+    return [chr(b) if b in shown else chr(256 + hidden.index(b)) for b in range(256)]
+
+
 class Encoder:
-    """A byte-level BPE whose pre-tokenizer keeps one space with the word that follows it.
+    """A byte-level BPE whose pre-tokenizer keeps one space with the word or the signs that follow it.
 
     Such a pre-tokenizer never joins characters across the places where ``PIECE`` cuts, so a text's ids are those of
-    its pieces in a row. Texts holding an added token's string are encoded whole.
+    its pieces in a row. A run of letters or of signs that ends before another kind is one word of the model, which then encodes
+    it directly. Texts holding an added token's string are encoded whole.
     """
 
-    PIECE = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
+    WORD = f" ?[{LETTERS}]+(?=[{WHITE}!-@\\[-`{{-~]|\\Z)| ?[{SIGNS}]+(?=[{WHITE}0-9{LETTERS}]|\\Z)"
+    PIECE = re.compile(f"{WORD}| ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
+    ONE = re.compile(f" ?[{LETTERS}]+| ?[{SIGNS}]+")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -40,11 +53,24 @@ class Encoder:
         self.added = [t["content"] for t in spec.get("added_tokens", [])]
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.cache: dict[str, bytes] = {}
+        self.alphabet = dict(enumerate(_byte_alphabet()))
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
         return [np.array(x.ids, self.dtype).tobytes() for x in found]
 
+    def _encode_pieces(self, pieces: list[str]) -> dict[str, bytes]:
+        model, one, dtype = self.tokenizer.model, self.ONE, self.dtype
+        found, rest = {}, []
+        for p in pieces:
+            if one.fullmatch(p):
+                written = p.encode().decode("latin-1").translate(self.alphabet)
+                found[p] = np.array([t.id for t in model.tokenize(written)], dtype).tobytes()
+            else:
+                rest.append(p)
+        found.update(zip(rest, self._encode(rest), strict=True))
+        return found
+
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """The ids of each text as little-endian bytes of ``dtype``."""
         batch: list[str] = []
@@ -63,7 +89,7 @@ class Encoder:
         new = list({p for ps in pieces if ps for p in ps if p not in self.cache})
         known = self.cache
         if new:
-            fresh = dict(zip(new, self._encode(new), strict=True))
+            fresh = self._encode_pieces(new)
             if len(known) > CACHED_PIECES:
                 # What this batch needs stays; the rest is found again when it is met.
                 known = self.cache = {p: known[p] for ps in pieces if ps for p in ps if p in known}
