@@ -128,7 +128,8 @@ def _ordered(rows: DataFrame, buckets: int) -> DataFrame:
     """
     shares = [i / buckets for i in range(1, buckets)]
     cuts = rows.select(F.col("key").cast("double").alias("key")).approxQuantile("key", shares, 0.25 / buckets)
-    splits = [-float("inf"), *sorted(set(cuts)), float("inf")]
+    # Without rows there are no cuts; any border will do.
+    splits = [-float("inf"), *(sorted(set(cuts)) or [0.0]), float("inf")]
     rows = Bucketizer(splits=splits, inputCol="place", outputCol="bucket").transform(
         rows.withColumn("place", F.col("key").cast("double"))
     )
