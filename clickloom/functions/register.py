@@ -18,5 +18,5 @@ def register_functions(spark: SparkSession) -> None:
     )
     spark.sql(
         "CREATE OR REPLACE TEMPORARY FUNCTION json_field(doc STRING, field STRING) "
-        "RETURNS STRING RETURN get_json_object(doc, concat('$.', field))"
+        "RETURNS STRING RETURN get_json_object(doc, concat('$[\\'', field, '\\']'))"
     )

@@ -16,19 +16,22 @@ def concat_long_string(number: Column, text: Column, sep: str) -> Column:
 
 
 def json_field(json: Column, field: str) -> Column:
-    """Top-level field of a JSON object as text; numbers keep their JSON spelling."""
-    return F.get_json_object(json, f"$.{field}")
+    """Top-level field of a JSON object as text, dots in its name included; numbers keep their JSON spelling."""
+    return F.get_json_object(json, f"$['{field}']")
 
 
 # --- time -------------------------------------------------------------------
 
+_TIME = r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}"
+
 
 def parse_time(text: Column) -> Column:
     """``yyyy-MM-dd HH:mm:ss`` text (the hour may have one digit) to timestamp, null if unreadable.
 
-    A cast is parsed by generated code; a pattern would go through a formatter per row.
+    What follows the seconds is ignored; a time without date or a date without time is unreadable. A cast is
+    parsed by generated code; a pattern would go through a formatter per row.
     """
-    return text.try_cast("timestamp")
+    return F.regexp_extract(text, _TIME, 0).try_cast("timestamp")
 
 
 def parse_date_key(text: Column) -> Column:

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from operator import and_, or_
+from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -42,6 +42,14 @@ def replace_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
     )
 
 
+def _any(conditions: Sequence[Column]) -> Column:
+    """Disjunction as a balanced tree, so that its depth stays small for thousands of conditions."""
+    if len(conditions) == 1:
+        return conditions[0]
+    half = len(conditions) // 2
+    return _any(conditions[:half]) | _any(conditions[half:])
+
+
 def upsert(df: DataFrame, path: str, keys: Sequence[str], partition_by: Sequence[str]) -> None:
     """Set rows of an existing Parquet table by key: new rows win, other rows stay.
 
@@ -60,7 +68,7 @@ def upsert(df: DataFrame, path: str, keys: Sequence[str], partition_by: Sequence
         return
     stored = df.sparkSession.read.schema(df.schema).parquet(path)
     inside = [reduce(and_, (F.col(n).eqNullSafe(row[n]) for n in partition_by)) for row in touched]
-    kept = stored.where(reduce(or_, inside)).withColumn("_new", F.lit(0))
+    kept = stored.where(_any(inside)).withColumn("_new", F.lit(0))
     merged = (
         kept.unionByName(df.withColumn("_new", F.lit(1)))
         .groupBy(*keys)
@@ -75,8 +83,9 @@ def write_result(
 ) -> None:
     """Add a result to ``root/name``, kept in a directory per task.
 
-    Running a task again adds its rows again, or takes the place of its earlier rows with ``replace``.
+    Running a task again adds its rows again, or takes the place of its earlier rows with ``replace``, also when
+    it has no rows this time. All rows belong to the task ``task_id``.
     """
-    with_task = df if "taskid" in df.columns else df.withColumn("taskid", F.lit(task_id).cast("bigint"))
-    write = replace_partitions if replace else append
-    write(with_task, f"{root}/{name}", ["taskid"])
+    rows = df.drop("taskid")
+    mode = "overwrite" if replace else "append"
+    rows.write.mode(mode).parquet(f"{root}/{name}/taskid={task_id}")

@@ -7,6 +7,10 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Milliseconds of the years 1 to 9999, less a day at both ends for the time zones.
+_MILLIS = (-62_135_510_400_000, 253_402_214_399_999)
+
+
 def _tokens(lines: DataFrame, col: str) -> DataFrame:
     """One array of tokens per line.
 
@@ -27,8 +31,9 @@ def _number(position: int) -> Column:
 
 def _readable() -> Column:
     numbers = [_number(position).isNotNull() for position in (0, 3, 4)]
-    # Five tokens; the coalesce covers a null line.
-    return F.coalesce((F.size("_tokens") == 5) & numbers[0] & numbers[1] & numbers[2], F.lit(False))
+    # Five tokens and a time that a date can show; the coalesce covers a null line.
+    readable = (F.size("_tokens") == 5) & numbers[0] & numbers[1] & numbers[2] & _number(0).between(*_MILLIS)
+    return F.coalesce(readable, F.lit(False))
 
 
 def parse_ad_log(lines: DataFrame, col: str = "value") -> DataFrame:

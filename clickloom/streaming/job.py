@@ -110,7 +110,9 @@ class AdClickStream:
     def _recent(self, totals: DataFrame) -> DataFrame:
         if self._keep_days is None:
             return totals
-        newest = totals.select(F.max("date").cast("date")).scalar()
+        # A click dated after today, from a wrong clock, must not push the others out.
+        past = totals.where(F.col("date").cast("date") <= F.current_date())
+        newest = F.coalesce(past.select(F.max("date").cast("date")).scalar(), F.current_date())
         return totals.where(F.col("date").cast("date") > F.date_sub(newest, self._keep_days))
 
     def _banned(self, batch_id: int) -> DataFrame:

@@ -126,3 +126,29 @@ def test_sql_functions(spark):
         " (SELECT listagg(DISTINCT x, ',') WITHIN GROUP (ORDER BY x) FROM VALUES ('b'), ('a'), ('b') t(x))"
     ).first()
     assert tuple(row) == ("7:x", "null-null", "0", "a,b")
+
+
+def test_parse_time_refuses_what_is_no_date_and_time(spark):
+    rows = [("5:02:33",), ("T07:00",), ("2018",), ("2018-08",), ("2018-08-21",), ("",), (None,)]
+    assert values(spark, "t string", rows, fn.parse_time(F.col("t"))) == [(None,)] * 7
+
+
+def test_parse_time_ignores_what_follows(spark):
+    rows = [("2018-08-21 05:02:33",), ("2018-08-21 05:02:33+08:00",), ("2018-08-21 5:02:33.7",)]
+    got = values(spark, "t string", rows, fn.format_time(fn.parse_time(F.col("t"))))
+    assert got == [("2018-08-21 05:02:33",)] * 3
+
+
+def test_json_field_takes_the_name_as_it_is(spark):
+    rows = [('{"a.b": 1, "a": {"b": 2}}',)]
+    assert values(spark, "j string", rows, fn.json_field(F.col("j"), "a.b")) == [("1",)]
+
+
+def test_ad_log_rejects_times_no_date_can_show(spark):
+    from clickloom.sources import adlog
+
+    lines = spark.createDataFrame(
+        [("9223372036854775807 p c 1 2",), ("253402300800000 p c 1 2",), ("1700000000000 p c 1 2",)], "value string"
+    )
+    assert [r.date for r in adlog.parse_ad_log(lines).collect()] == ["2023-11-14"]
+    assert tuple(adlog.ad_log_rejects(lines).first()) == (2, 3)

@@ -3,6 +3,8 @@ from __future__ import annotations
 import pytest
 
 from clickloom import sinks
+from clickloom.sinks.tables import _any
+from pyspark.sql import functions as F
 
 SCHEMA = "date string, k bigint, v bigint"
 
@@ -68,3 +70,10 @@ def test_results_are_appended_per_task(spark, path):
     assert [tuple(r) for r in got] == [(4, 2), (5, 1)]
     sinks.write_result(df, path, "r", 4, replace=True)
     assert spark.read.parquet(f"{path}/r").where("taskid = 4").count() == 1
+    sinks.write_result(df.limit(0), path, "r", 4, replace=True)
+    assert [tuple(r) for r in spark.read.parquet(f"{path}/r").collect()] == [(1, 5)]
+
+
+def test_upsert_takes_many_partitions_in_one_filter(spark):
+    rows = spark.range(3).where(_any([F.col("id") == F.lit(i) for i in range(1, 3000)]))
+    assert sorted(r.id for r in rows.collect()) == [1, 2]
