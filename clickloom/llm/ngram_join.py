@@ -30,7 +30,9 @@ from clickloom.llm.tables import stored
 BATCH_BYTES = 2_000_000
 BLOCK_ELEMENTS = 400_000
 BAND_GROWTH = 1.5
-SIGNED = "doc_id long, n long, h1 long, h2 long, signatures array<long>"
+SIZED = "doc_id long, n long, h1 long, h2 long"
+SIGNED = "doc_id long, sign long"
+SIGNED_ROWS = 200_000
 
 
 def in_chunks(texts: list[bytes]) -> Iterator[list[bytes]]:
@@ -159,39 +161,61 @@ def link_forest(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     return links
 
 
-def _signed(docs: DataFrame, n: int, bands: Bands) -> DataFrame:
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sized(docs: DataFrame, n: int) -> DataFrame:
+    """Size and two hashes of each document's set; equal hashes stand for equal sets."""
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts, first, second, signs = [], [], [], []
+            counts, first, second = [], [], []
             for s in shingle_sets(batch["text"].cast(pa.binary()).to_pylist(), n):
                 counts.append(len(s))
                 first.append(mix(s).sum(dtype=np.uint64))
                 second.append(mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64))
-                signs.append(signatures(s, bands).view(np.int64))
-            offsets = np.concatenate([[0], np.cumsum([len(x) for x in signs])]).astype(np.int32)
-            flat = np.concatenate(signs) if signs else np.zeros(0, np.int64)
             columns = [
                 batch["doc_id"],
                 pa.array(counts, pa.int64()),
                 pa.array(np.array(first, np.uint64).view(np.int64)),
                 pa.array(np.array(second, np.uint64).view(np.int64)),
-                pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
             ]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "h1", "h2", "signatures"])
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "h1", "h2"])
+
+    return docs.mapInArrow(measure, SIZED)
+
+
+def _signed(docs: DataFrame, n: int, bands: Bands) -> DataFrame:
+    """A row for every signature of every document."""
+
+    def rows(ids: list[int], signs: list[np.ndarray]) -> pa.RecordBatch:
+        owners = np.repeat(np.array(ids, np.int64), [len(x) for x in signs])
+        flat = np.concatenate(signs).view(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(owners), pa.array(flat)], names=["doc_id", "sign"])
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, signs, size = [], [], 0
+            sets = shingle_sets(batch["text"].cast(pa.binary()).to_pylist(), n)
+            for doc, s in zip(batch["doc_id"].to_pylist(), sets, strict=True):
+                ids.append(doc)
+                signs.append(signatures(s, bands))
+                size += len(signs[-1])
+                if size >= SIGNED_ROWS:
+                    yield rows(ids, signs)
+                    ids, signs, size = [], [], 0
+            if size:
+                yield rows(ids, signs)
 
     return docs.mapInArrow(sign, SIGNED)
 
 
 def _meetings(signed: DataFrame) -> DataFrame:
-    """Edges (a, b) from every set to the smallest one with which it shares a signature."""
-    rows = signed.select("h1", F.explode("signatures").alias("sign")).repartition("sign")
+    """Edges (a, b) from every document to the smallest one with which it shares a signature."""
 
     def stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sign, least = None, 0
         for batch in batches:
             if not batch.num_rows:
                 continue
-            nodes, signs = batch["h1"].to_numpy(), batch["sign"].to_numpy()
+            nodes, signs = batch["doc_id"].to_numpy(), batch["sign"].to_numpy()
             new = np.concatenate([[sign is None or signs[0] != sign], signs[1:] != signs[:-1]])
             group = np.cumsum(new)
             firsts = np.concatenate([[least], nodes[new]]).astype(np.int64)
@@ -201,12 +225,12 @@ def _meetings(signed: DataFrame) -> DataFrame:
             pairs = np.unique(pairs, axis=1)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
 
-    return rows.sortWithinPartitions("sign", "h1").mapInArrow(stars, EDGES)
+    return signed.repartition("sign").sortWithinPartitions("sign", "doc_id").mapInArrow(stars, EDGES)
 
 
 def _blocks(classes: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, units): the searches that the first document of each class takes part in."""
-    grouped = classes.join(labels, classes["h1"] == labels["node"]).select("doc_id", "n", "label")
+    grouped = classes.join(labels, classes["doc_id"] == labels["node"]).select("doc_id", "n", "label")
     sizes = grouped.groupBy("label").agg(F.sum("n").alias("elements"), F.count(F.lit(1)).alias("members"))
     blocks = F.ceil(F.col("elements") / BLOCK_ELEMENTS)
     own = F.pmod(F.xxhash64("doc_id"), F.col("blocks"))
@@ -216,19 +240,12 @@ def _blocks(classes: DataFrame, labels: DataFrame) -> DataFrame:
     # A block meets every other block, which covers its own pairs too; a single block meets itself.
     placed = placed.where("blocks = 1 or own <> other")
     unit = F.xxhash64("label", F.least("own", "other"), F.greatest("own", "other"))
-    return placed.groupBy("doc_id").agg(F.collect_list(unit).alias("units"))
+    return placed.groupBy("doc_id").agg(F.collect_set(unit).alias("units"))
 
 
 def _searched(docs: DataFrame, blocks: DataFrame, n: int, percent: int) -> DataFrame:
     """Links (a, b) found in all searches."""
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            raw = [s.tobytes() for s in shingle_sets(batch["text"].cast(pa.binary()).to_pylist(), n)]
-            yield pa.RecordBatch.from_arrays(
-                [batch["units"], batch["doc_id"], pa.array(raw, pa.binary())], names=["units", "doc_id", "raw"]
-            )
-
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unit, ids, group = None, [], []
 
@@ -239,17 +256,17 @@ def _searched(docs: DataFrame, blocks: DataFrame, n: int, percent: int) -> DataF
             return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
         for batch in batches:
-            for key, doc, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            sets = shingle_sets(batch["text"].cast(pa.binary()).to_pylist(), n)
+            for key, doc, own in zip(batch["unit"].to_pylist(), batch["doc_id"].to_pylist(), sets, strict=True):
                 if key != unit:
                     yield found()
                     unit, ids, group = key, [], []
                 ids.append(doc)
-                group.append(np.frombuffer(raw, np.uint64))
+                group.append(own)
         yield found()
 
-    rows = docs.join(blocks, "doc_id").select("units", "doc_id", "text")
-    rows = rows.mapInArrow(sets, "units array<long>, doc_id long, raw binary")
-    rows = rows.select(F.explode("units").alias("unit"), "doc_id", "raw")
+    # Texts travel, not sets: they compress, hashes do not.
+    rows = docs.join(blocks, "doc_id").select(F.explode("units").alias("unit"), "doc_id", "text")
     return rows.repartition("unit").sortWithinPartitions("unit").mapInArrow(search, EDGES)
 
 
@@ -265,11 +282,12 @@ def jaccard_components(
     rows = docs.select(
         F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")
     )
-    signed = stored(_signed(rows, words, Bands(percent)), "signatures")
-    known = signed.where("doc_id is not null and n > 0")
-    classes = known.groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("doc_id"))
+    sized = stored(_sized(rows, words), "sets")
+    classes = sized.where("doc_id is not null and n > 0").groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("doc_id"))
     classes = stored(classes, "classes")
-    blocks = _blocks(classes, components(_meetings(known)))
+    # Only the first document of a class is signed, however many copies it has.
+    firsts = rows.join(classes.select("doc_id").distinct(), "doc_id", "left_semi")
+    blocks = _blocks(classes, components(_meetings(_signed(firsts, words, Bands(percent)))))
     links = components(_searched(rows, blocks, words, percent))
     joined = classes.join(links, F.col("doc_id") == F.col("node"), "left").select(
         F.col("h1").alias("c1"), F.col("h2").alias("c2"), F.coalesce("label", "doc_id").alias("component")
@@ -277,8 +295,6 @@ def jaccard_components(
     # The last key follows from the others; being one of its own, it lets adaptive execution split a hot class.
     same = (F.col("h1") == F.col("c1")) & (F.col("h2") == F.col("c2"))
     same = same & (F.xxhash64("h1", "h2") == F.xxhash64("c1", "c2")) & (F.col("n") > 0)
-    return (
-        signed.select("doc_id", "n", "h1", "h2")
-        .join(joined, same, "left")
-        .select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
-    )
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
+    found = sized.join(joined, same, "left")
+    return found.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
