@@ -3,7 +3,7 @@
 A document's set is its distinct word n-grams, hashed to 64 bits. Equal sets are one class from the start. Which classes must
 be searched together is found without loss: two sets that reach the bound differ in at most D elements, so of more
 than D hash ranges at least one holds the same elements in both; its signature is what they meet on. The groups that arise
-are cut into blocks of bounded size, every pair of blocks is one search, and in it an inverted index is searched by
+(of sets of about one size) are cut into blocks of bounded size, every pair of blocks is one search, and in it an inverted index is searched by
 T-occurrence with DivideSkip: the short lists of a query's elements are merged and counted, the long ones are only
 probed by binary search for what the merge left, and sets that reach the required overlap are linked. Elements a search
 has linked already are not compared again, so a group of copies costs a spanning tree and not all its pairs.
@@ -30,8 +30,8 @@ from clickloom.llm.tables import stored
 BATCH_BYTES = 2_000_000
 BLOCK_ELEMENTS = 400_000
 BAND_GROWTH = 1.5
-SIZED = "doc_id long, n long, h1 long, h2 long"
-SIGNED = "doc_id long, sign long"
+SIZED = "doc_id long, n long, h1 long, h2 long, nodes array<long>"
+SIGNED = "doc_id long, band int, sign long"
 SIGNED_ROWS = 200_000
 
 
@@ -86,10 +86,15 @@ class Bands:
         return found
 
 
-def signatures(elements: np.ndarray, bands: Bands) -> np.ndarray:
-    """What a sorted set meets its possible partners on."""
+def band_nodes(docs: np.ndarray, bands: np.ndarray) -> np.ndarray:
+    """The graph node of a document in a band."""
+    return mix(mix(docs.astype(np.int64).view(np.uint64)) + bands.astype(np.uint64)).view(np.int64)
+
+
+def signatures(elements: np.ndarray, bands: Bands) -> list[tuple[int, np.ndarray]]:
+    """What a sorted set meets its possible partners on, for each of its bands."""
     if len(elements) < bands.least:
-        return np.zeros(0, np.uint64)
+        return []
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(elements + np.uint64(1)))])
     found = []
     for band, size in bands.of(len(elements)):
@@ -104,8 +109,8 @@ def signatures(elements: np.ndarray, bands: Bands) -> np.ndarray:
         # two of them meet on any they share.
         if len(own) <= differ:
             own = np.concatenate([own, mix(elements ^ np.uint64(band + 1))])
-        found.append(own)
-    return np.concatenate(found)
+        found.append((band, own))
+    return found
 
 
 def link_forest(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
@@ -161,23 +166,30 @@ def link_forest(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     return links
 
 
-def _sized(docs: DataFrame, n: int) -> DataFrame:
-    """Size and two hashes of each document's set; equal hashes stand for equal sets."""
+def _sized(docs: DataFrame, n: int, bands: Bands) -> DataFrame:
+    """Size, two hashes and the nodes of each document's set; equal hashes stand for equal sets."""
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts, first, second = [], [], []
+            counts, first, second, own = [], [], [], []
             for s in shingle_sets(batch["text"].cast(pa.binary()).to_pylist(), n):
                 counts.append(len(s))
                 first.append(mix(s).sum(dtype=np.uint64))
                 second.append(mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64))
+                own.append([b for b, _ in bands.of(len(s))] if len(s) >= bands.least else [])
+            owners = batch["doc_id"].fill_null(0).to_numpy(zero_copy_only=False)
+            sizes = [len(x) for x in own]
+            flat = np.array([b for x in own for b in x], np.int64)
+            nodes = pa.array(band_nodes(np.repeat(owners, sizes), flat))
+            offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
             columns = [
                 batch["doc_id"],
                 pa.array(counts, pa.int64()),
                 pa.array(np.array(first, np.uint64).view(np.int64)),
                 pa.array(np.array(second, np.uint64).view(np.int64)),
+                pa.ListArray.from_arrays(offsets, nodes),
             ]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "h1", "h2"])
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "h1", "h2", "nodes"])
 
     return docs.mapInArrow(measure, SIZED)
 
@@ -185,37 +197,41 @@ def _sized(docs: DataFrame, n: int) -> DataFrame:
 def _signed(docs: DataFrame, n: int, bands: Bands) -> DataFrame:
     """A row for every signature of every document."""
 
-    def rows(ids: list[int], signs: list[np.ndarray]) -> pa.RecordBatch:
-        owners = np.repeat(np.array(ids, np.int64), [len(x) for x in signs])
-        flat = np.concatenate(signs).view(np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(owners), pa.array(flat)], names=["doc_id", "sign"])
+    def rows(found: list[tuple[int, int, np.ndarray]]) -> pa.RecordBatch:
+        sizes = [len(x) for _, _, x in found]
+        owners = np.repeat(np.array([doc for doc, _, _ in found], np.int64), sizes)
+        tags = np.repeat(np.array([band for _, band, _ in found], np.int32), sizes)
+        flat = np.concatenate([x for _, _, x in found]).view(np.int64)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(owners), pa.array(tags), pa.array(flat)], names=["doc_id", "band", "sign"]
+        )
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, signs, size = [], [], 0
+            found, size = [], 0
             sets = shingle_sets(batch["text"].cast(pa.binary()).to_pylist(), n)
             for doc, s in zip(batch["doc_id"].to_pylist(), sets, strict=True):
-                ids.append(doc)
-                signs.append(signatures(s, bands))
-                size += len(signs[-1])
+                found += [(doc, band, own) for band, own in signatures(s, bands)]
+                size += sum(len(own) for _, _, own in found[-2:])
                 if size >= SIGNED_ROWS:
-                    yield rows(ids, signs)
-                    ids, signs, size = [], [], 0
-            if size:
-                yield rows(ids, signs)
+                    yield rows(found)
+                    found, size = [], 0
+            if found:
+                yield rows(found)
 
     return docs.mapInArrow(sign, SIGNED)
 
 
 def _meetings(signed: DataFrame) -> DataFrame:
-    """Edges (a, b) from every document to the smallest one with which it shares a signature."""
+    """Edges (a, b) from every node to one node with which it shares a signature."""
 
     def stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sign, least = None, 0
         for batch in batches:
             if not batch.num_rows:
                 continue
-            nodes, signs = batch["doc_id"].to_numpy(), batch["sign"].to_numpy()
+            signs = batch["sign"].to_numpy()
+            nodes = band_nodes(batch["doc_id"].to_numpy(), batch["band"].to_numpy())
             new = np.concatenate([[sign is None or signs[0] != sign], signs[1:] != signs[:-1]])
             group = np.cumsum(new)
             firsts = np.concatenate([[least], nodes[new]]).astype(np.int64)
@@ -225,12 +241,13 @@ def _meetings(signed: DataFrame) -> DataFrame:
             pairs = np.unique(pairs, axis=1)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
 
-    return signed.repartition("sign").sortWithinPartitions("sign", "doc_id").mapInArrow(stars, EDGES)
+    return signed.repartition("sign").sortWithinPartitions("sign").mapInArrow(stars, EDGES)
 
 
 def _blocks(classes: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, units): the searches that the first document of each class takes part in."""
-    grouped = classes.join(labels, classes["doc_id"] == labels["node"]).select("doc_id", "n", "label")
+    nodes = classes.select("doc_id", "n", F.explode("nodes").alias("node"))
+    grouped = nodes.join(labels, "node").select("doc_id", "n", "label")
     sizes = grouped.groupBy("label").agg(F.sum("n").alias("elements"), F.count(F.lit(1)).alias("members"))
     blocks = F.ceil(F.col("elements") / BLOCK_ELEMENTS)
     own = F.pmod(F.xxhash64("doc_id"), F.col("blocks"))
@@ -282,12 +299,14 @@ def jaccard_components(
     rows = docs.select(
         F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")
     )
-    sized = stored(_sized(rows, words), "sets")
-    classes = sized.where("doc_id is not null and n > 0").groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("doc_id"))
+    bands = Bands(percent)
+    sized = stored(_sized(rows, words, bands), "sets")
+    known = sized.where("doc_id is not null and n > 0").groupBy("h1", "h2", "n")
+    classes = known.agg(F.min(F.struct("doc_id", "nodes")).alias("first")).select("h1", "h2", "n", "first.*")
     classes = stored(classes, "classes")
     # Only the first document of a class is signed, however many copies it has.
     firsts = rows.join(classes.select("doc_id").distinct(), "doc_id", "left_semi")
-    blocks = _blocks(classes, components(_meetings(_signed(firsts, words, Bands(percent)))))
+    blocks = _blocks(classes, components(_meetings(_signed(firsts, words, bands))))
     links = components(_searched(rows, blocks, words, percent))
     joined = classes.join(links, F.col("doc_id") == F.col("node"), "left").select(
         F.col("h1").alias("c1"), F.col("h2").alias("c2"), F.coalesce("label", "doc_id").alias("component")
