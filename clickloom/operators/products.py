@@ -34,17 +34,22 @@ def click_with_city(clicks: DataFrame, cities: DataFrame) -> DataFrame:
     )
 
 
-def area_product_clicks(clicks: DataFrame, cities: DataFrame) -> DataFrame:
-    """(area, product_id, click_count, city_infos).
-
-    Clicks are counted per (city, product) before the join, so the join and the city lists see one row per
-    pair instead of one per click.
-    """
+def _clicks_per_city(clicks: DataFrame, cities: DataFrame) -> DataFrame:
+    """(city_id, product_id, n, city_name, area): counted before the join, which sees one row per pair."""
     per_city = clicks.groupBy("city_id", "product_id").agg(F.count(F.lit(1)).alias("n"))
-    placed = per_city.join(cities.select("city_id", "city_name", "area"), "city_id")
-    info = concat_long_string(F.col("city_id"), F.col("city_name"), ":")
-    return placed.groupBy("area", "product_id").agg(
-        F.sum("n").alias("click_count"), group_concat_distinct(info).alias("city_infos")
+    return per_city.join(cities.select("city_id", "city_name", "area"), "city_id")
+
+
+def _city_infos() -> Column:
+    return group_concat_distinct(concat_long_string(F.col("city_id"), F.col("city_name"), ":"))
+
+
+def area_product_clicks(clicks: DataFrame, cities: DataFrame) -> DataFrame:
+    """(area, product_id, click_count, city_infos)."""
+    return (
+        _clicks_per_city(clicks, cities)
+        .groupBy("area", "product_id")
+        .agg(F.sum("n").alias("click_count"), _city_infos().alias("city_infos"))
     )
 
 
@@ -76,19 +81,35 @@ def area_level(
 
 
 def area_top_products(
-    counts: DataFrame,
+    clicks: DataFrame,
+    cities: DataFrame,
+    products: DataFrame,
     n: int = 3,
     levels: Mapping[str, str] = AREA_LEVELS,
     default: str = DEFAULT_LEVEL,
 ) -> DataFrame:
-    """The ``n`` most clicked products of every area; ties go to the lower product id."""
-    return top_n_per_group(
-        counts,
+    """The ``n`` most clicked known products of every area; ties go to the lower product id.
+
+    Ranked on counts alone; city lists, names and JSON status are made for the ranked products only.
+    """
+    placed = _clicks_per_city(clicks, cities)
+    known = placed.join(products.select("product_id"), "product_id", "left_semi")
+    ranked = top_n_per_group(
+        known.groupBy("area", "product_id").agg(F.sum("n").alias("click_count")),
         by=["area"],
         order=[F.desc("click_count"), F.asc("product_id")],
         n=n,
         salt_on=["product_id"],
-    ).select(
+    )
+    # Areas and counts are compared null-safe: a city without area is a group like any other.
+    top = ranked.select(F.col("area").alias("_area"), F.col("product_id").alias("_product"), "click_count")
+    same = F.col("area").eqNullSafe(F.col("_area")) & (F.col("product_id") == F.col("_product"))
+    counts = (
+        placed.join(top, same)
+        .groupBy("area", "product_id", "click_count")
+        .agg(_city_infos().alias("city_infos"))
+    )
+    return area_product_enriched(counts, products).select(
         "area",
         area_level(F.col("area"), levels, default).alias("area_level"),
         "product_id",

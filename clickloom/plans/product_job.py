@@ -34,9 +34,9 @@ class ProductAnalysis:
         self._default = default_level
 
     def top_products(self, n: int = 3) -> DataFrame:
-        counts = products.area_product_clicks(self._clicks, self._cities)
-        enriched = products.area_product_enriched(counts, self._products)
-        top = products.area_top_products(enriched, n, self._levels, self._default)
+        top = products.area_top_products(
+            self._clicks, self._cities, self._products, n, self._levels, self._default
+        )
         return top.select(F.lit(self._task_id).cast("bigint").alias("taskid"), "*")
 
     def write_all(self, root: str, replace: bool = False) -> None:
