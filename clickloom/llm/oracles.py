@@ -71,3 +71,47 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   not base_failed and 100 * n_clean >= 60 * n_text as kept
 from f
 """
+
+ORACLES["op13_filter_audit"] = r"""
+with d as (
+  select doc_id, coalesce(cast(source as varchar), '') as part, coalesce(text, '') as t,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w
+  from documents),
+l as (
+  select doc_id, max(case when quality = 1 then 1 else 0 end) as good, max(case when toxic = 1 then 1 else 0 end) as toxic
+  from labels group by doc_id),
+f as (
+  select part, coalesce(good, 0) as good, coalesce(toxic, 0) as toxic,
+    case when len(w) < 200 then 1 else 0 end
+    + case when 100 * len(list_distinct(w)) < 50 * len(w) then 2 else 0 end
+    + case when 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 2 * length(t) then 4 else 0 end
+    + case when regexp_matches(t, '[#$%&*|]') then 8 else 0 end
+    + case when d.doc_id > min(d.doc_id) over (partition by t) then 16 else 0 end as mask
+  from d left join l on d.doc_id = l.doc_id),
+g as (
+  select part, mask, count(*) as n, sum(good) as good, sum(toxic) as toxic from f group by part, mask),
+b as (
+  select * from (values ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) as x(name, bit)),
+p as (
+  select [b1.name, b2.name, b3.name, b4.name, b5.name] as names, [b1.bit, b2.bit, b3.bit, b4.bit, b5.bit] as bits
+  from b b1, b b2, b b3, b b4, b b5
+  where b1.bit | b2.bit | b3.bit | b4.bit | b5.bit = 31),
+s as (
+  select array_to_string(names, '') as filter_order, step, names[step] as name, bits[step] as own,
+    cast(coalesce(list_sum(bits[1:step - 1]), 0) as integer) as earlier
+  from p, (select unnest([1, 2, 3, 4, 5]) as step)),
+r as (
+  select part, filter_order, cast(step as integer) as step, name,
+    sum(case when mask & (earlier | own) = 0 then n else 0 end) as kept,
+    sum(case when mask & earlier = 0 and mask & own <> 0 then n else 0 end) as removed,
+    sum(case when mask & earlier <> 0 and mask & own <> 0 then n else 0 end) as redundant,
+    sum(case when mask = own then n else 0 end) as unique_fails,
+    sum(case when mask & earlier = 0 and mask & own <> 0 then good else 0 end) as good_lost,
+    sum(case when mask & earlier = 0 and mask & own <> 0 then toxic else 0 end) as toxic_lost
+  from s, g group by part, filter_order, step, name)
+select part, filter_order, step, cast(kept as bigint) as kept, cast(removed as bigint) as removed,
+  cast(redundant as bigint) as redundant, cast(unique_fails as bigint) as unique_fails,
+  cast(good_lost as bigint) as good_lost, cast(toxic_lost as bigint) as toxic_lost,
+  cast(sum(removed) over (partition by part, name) as bigint) as shapley
+from r
+"""

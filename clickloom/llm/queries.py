@@ -9,14 +9,17 @@ from pyspark.sql import functions as F
 
 from clickloom.llm import (
     binary,
+    filter_audit,
     fingerprints,
     licenses,
     mixing,
     ngram_join,
     oracles,
     packing,
+    pieces,
     quality,
     site_tree,
+    spelling,
     substring_dedup,
     surrogates,
 )
@@ -109,4 +112,31 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return binary.exported(_table(spark, sf_dir, "documents"), vocabulary())
 
 
+@_query
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the ids of all documents, begin and end id included, and of the texts decoded from them."""
+    docs, model = _table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model")
+    coded = pieces.decode_pieces(pieces.encode_pieces(docs, model), model)
+    return coded.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
+@_query
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All words of the documents with their near words, forms and roots."""
+    counts = spelling.word_counts(_table(spark, sf_dir, "documents"), least_chars=6, slip=199)
+    return spelling.variants(counts, least_count=5, ratio=5)
+
+
+@_query
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Steps of five filters in every order, for every source."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    return filter_audit.audit_filters(filter_audit.failure_counts(docs, labels))
+
+
 ORACLES = oracles.ORACLES
