@@ -29,11 +29,12 @@ def library(model):
 def odd_texts(count):
     pick = random.Random(11)
     common = ["the ", "tion", "ing", " is", "a", "  ", "\n", "é", "在", "的", "<s>", "</s>", " ⁇ ", "▁", "\t"]
+    points = [*range(1, 0xD800), *range(0xE000, 0x1FFFF)]
     for i in range(count):
         n = pick.randrange(60)
         yield (
             "".join(pick.choice(common) for _ in range(n)),
-            "".join(chr(pick.choice([*range(1, 0xD800), *range(0xE000, 0x1FFFF)])) for _ in range(n // 4)),
+            "".join(chr(pick.choice(points)) for _ in range(n // 4)),
             " " * n + "a" * pick.randrange(50) + " " * pick.randrange(40) + "日",
             "".join(chr(pick.randrange(97, 123)) for _ in range(n)),
         )[i % 4]
