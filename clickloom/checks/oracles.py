@@ -191,6 +191,15 @@ batch_clean AS (
   WHERE x.batch IS NULL OR c.batch <= x.batch)
 """
 
+HALVES = """
+even AS (
+  SELECT date, province, city, ad_id, count(*) AS click_count
+  FROM ad_click_log WHERE event_id % 2 = 0 GROUP BY ALL),
+recent AS (
+  SELECT date, province, city, ad_id, count(*) AS click_count
+  FROM ad_click_log WHERE date >= '2024-01-16' GROUP BY ALL)
+"""
+
 
 def _with(select: str, *parts: str) -> str:
     return "WITH " + ",".join(part.strip() for part in (TABLES, *parts)) + "\n" + select.strip()
@@ -405,6 +414,66 @@ def oracle_sql() -> dict[str, str]:
             " FROM batch_clean GROUP BY date, province, ad_id) x WHERE rn <= 3",
             ADS,
         ),
+        "ad_user_counts_stream": _with(
+            "SELECT date, user_id, ad_id, count(*) AS click_count FROM clean GROUP BY ALL", ADS
+        ),
+        "ad_published_stat_stream": _with(
+            "SELECT date, province, city, ad_id, count(*) AS click_count FROM clean GROUP BY ALL", ADS
+        ),
+        # Every window counted on its own from the clicks that arrived in it.
+        "ad_trend_sliding_stream": _with(
+            "SELECT strftime(make_timestamp(s.slide * 10000000), '%Y-%m-%d %H:%M:%S') AS slide_end,"
+            " strftime(s.minute, '%Y-%m-%d') AS date, strftime(s.minute, '%H') AS hour,"
+            " strftime(s.minute, '%M') AS minute, s.ad_id, count(a.pane) AS click_count"
+            " FROM slides s LEFT JOIN arrived a ON a.minute = s.minute AND a.ad_id = s.ad_id"
+            " AND a.pane < s.slide AND a.pane >= s.slide - 360"
+            " GROUP BY s.slide, s.minute, s.ad_id",
+            ADS,
+            """
+arrived AS (
+  SELECT ad_id, date_trunc('minute', cast(ts AS timestamp)) AS minute,
+    cast(floor(epoch(cast(ts AS timestamp) + to_seconds(event_id % 7 * 10)) / 10) AS bigint) AS pane
+  FROM ad_click_log),
+slides AS (
+  SELECT DISTINCT minute, ad_id, pane + unnest([1, 361]) AS slide FROM arrived)
+""",
+        ),
+        "ad_log_rejects_stream": _with(
+            "SELECT count(*) FILTER (WHERE area LIKE '% %') AS rejected, count(*) AS lines"
+            " FROM ev JOIN city_info ON (event_id + k) % 25 = city_id"
+        ),
+        # tables
+        "table_upsert": _with(
+            "SELECT * FROM recent UNION ALL SELECT * FROM even WHERE (date, province, city, ad_id) NOT IN"
+            " (SELECT (date, province, city, ad_id) FROM recent)",
+            ADS,
+            HALVES,
+        ),
+        "table_append": _with("SELECT * FROM even UNION ALL SELECT * FROM recent", ADS, HALVES),
+        "table_replace": _with(
+            "SELECT * FROM recent WHERE province = 'ASIA' UNION ALL"
+            " SELECT * FROM even WHERE (date, province) NOT IN"
+            " (SELECT (date, province) FROM recent WHERE province = 'ASIA')",
+            ADS,
+            HALVES,
+        ),
+        "result_replace": _with(
+            "SELECT cast(1 AS bigint) AS taskid, date, count(*) AS actions FROM user_visit_action"
+            " WHERE date BETWEEN '2024-01-08' AND '2024-01-21' GROUP BY date"
+        ),
+        "sql_functions": _with(
+            "SELECT city_id, cast(city_id AS varchar) || ':' || city_name AS text, city_name AS name FROM city_info"
+        ),
+        "days_from_today": _with(
+            "SELECT d AS date, count(*) FILTER (WHERE cast(d AS date) < current_date - 1) AS before_yesterday,"
+            " count(*) FILTER (WHERE cast(d AS date) < current_date) AS before_today FROM ev GROUP BY d"
+        ),
+        "json_parameters": _with(
+            "SELECT u.user_id, count(DISTINCT session_id) AS sessions FROM user_visit_action a"
+            " JOIN user_info u ON u.user_id = a.user_id"
+            " WHERE date BETWEEN '2024-01-08' AND '2024-01-21' AND age BETWEEN 25 AND 40 AND sex = 'male'"
+            " GROUP BY u.user_id"
+        ),
         # functions
         "concat_long_string": _with(
             "SELECT session_id, coalesce(cast(click_category_id AS varchar), 'null') || ':' ||"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,11 +13,14 @@ from clickloom.checks import fixtures as fx
 from clickloom.operators import ads, categories, filters, funnel, products, sampling, sessions
 from clickloom.params import TaskParams
 from clickloom.plans import FunnelAnalysis, ProductAnalysis, SessionAnalysis
-from clickloom.sources import actions_by_date, ad_log_rejects, click_actions, parse_ad_log
+from clickloom.sinks import TaskRun, append, read_results, replace_partitions, upsert
+from clickloom.sources import actions_by_date, ad_log_rejects, ad_stream, click_actions, parse_ad_log
 from clickloom.streaming import (
     AdClickStream,
     ad_stat_stream,
+    ad_trend_panes_stream,
     ad_trend_stream,
+    batch_counts,
     start_ad_stream,
     start_upsert,
 )
@@ -400,49 +403,93 @@ def _ad_trend_last_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streams: replay of the whole table, the result is the final state ----------
 
 
-def _click_stream(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
+def _click_stream(spark: SparkSession, sf_dir: str, path: str, files: int = 1000) -> DataFrame:
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    events = spark.readStream.schema(schema).parquet(path)
+    events = spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path)
     return fx.ad_clicks_from(events, fx.city_info(spark, sf_dir))
 
 
-def _stored_counts(spark: SparkSession, counts: DataFrame, keys: list[str], name: str) -> DataFrame:
+def _stored_counts(
+    spark: SparkSession, counts: DataFrame, keys: list[str], name: str, by: tuple[str, ...] = ("date",)
+) -> DataFrame:
     work = work_dir(spark, name)
-    query = start_upsert(counts, f"{work}/table", keys, f"{work}/checkpoint", available_now=True)
+    query = start_upsert(
+        counts, f"{work}/table", keys, f"{work}/checkpoint", available_now=True, partition_by=by
+    )
     query.awaitTermination()
     return spark.read.schema(counts.schema).parquet(f"{work}/table")
 
 
 @_query("ad_stat_stream")
 def _ad_stat_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    clicks = _click_stream(spark, sf_dir, f"{sf_dir}/events*.parquet")
-    # Stored files come in any order, so the replay allows for the whole time range.
-    counts = ad_stat_stream(clicks, lateness="400 days")
+    counts = ad_stat_stream(_click_stream(spark, sf_dir, f"{sf_dir}/events*.parquet"))
     return _stored_counts(spark, counts, ["date", "province", "city", "ad_id"], "stat")
 
 
 @_query("ad_trend_stream")
 def _ad_trend_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    clicks = _click_stream(spark, sf_dir, f"{sf_dir}/events*.parquet")
-    counts = ad_trend_stream(clicks, lateness="400 days")
+    counts = ad_trend_stream(_click_stream(spark, sf_dir, f"{sf_dir}/events*.parquet"))
     return _stored_counts(spark, counts, ["date", "hour", "minute", "ad_id"], "trend")
 
 
-def _replay(spark: SparkSession, sf_dir: str) -> AdClickStream:
+def _arrivals(spark: SparkSession, sf_dir: str, path: str, days: int) -> Iterator[int]:
+    """Write the month's events as files of ``days`` days each, one after the other."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    last = 30 // days - 1
+    arrival = F.least(F.call_function("div", F.day("ts") - 1, F.lit(days)), F.lit(last))
+    for number in range(last + 1):
+        events.where(arrival == number).coalesce(1).write.mode("append").parquet(path)
+        yield number
+
+
+@_query("ad_trend_sliding_stream")
+def _ad_trend_sliding_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every slide of the 60-minute window, over clicks that arrive up to a minute after they happened."""
+    path = f"{work_dir(spark, 'arrivals')}/events"
+    for _ in _arrivals(spark, sf_dir, path, 10):
+        pass
+    clicks = _click_stream(spark, sf_dir, path, files=1)
+    delay = F.make_interval(secs=(F.col("event_id") % 7) * 10)
+    panes = ad_trend_panes_stream(clicks.withColumn("arrival", F.col("ts") + delay), "arrival")
+    stored = _stored_counts(spark, panes, ["date", "pane", "minute", "ad_id"], "panes")
+    slides = ads.sliding_trend(stored)
+    return slides.withColumn("slide_end", F.date_format("slide_end", "yyyy-MM-dd HH:mm:ss"))
+
+
+@_query("ad_log_rejects_stream")
+def _ad_log_rejects_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines and unreadable lines as the stream observed them, added up over its batches."""
+    work = work_dir(spark, "lines")
+    fx.ad_log_lines(spark, sf_dir, "area").repartition(4).write.text(f"{work}/in")
+    clicks = ad_stream(spark, "text", {"path": f"{work}/in", "maxFilesPerTrigger": "1"})
+    writer = clicks.writeStream.format("noop").option("checkpointLocation", f"{work}/checkpoint")
+    query = writer.trigger(availableNow=True).start()
+    query.awaitTermination()
+    counts = spark.createDataFrame(batch_counts(query), "batch_id long, lines long, rejected long, late long")
+    return counts.agg(F.sum("rejected").alias("rejected"), F.sum("lines").alias("lines"))
+
+
+def _replay(spark: SparkSession, sf_dir: str, *tables: str) -> AdClickStream:
     """The job over three arrivals of ten days each, restarted from its checkpoint every time."""
     work = work_dir(spark, "replay")
-    job = AdClickStream(spark, f"{work}/state", threshold=THRESHOLD, epoch_batches=2)
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    arrival = F.least(F.call_function("div", F.day("ts") - 1, F.lit(10)), F.lit(2))
-    for number in range(3):
-        events.where(arrival == number).write.mode("append").parquet(f"{work}/arrivals")
+    job = AdClickStream(spark, f"{work}/state", threshold=THRESHOLD)
+    for _ in _arrivals(spark, sf_dir, f"{work}/arrivals", 10):
         clicks = _click_stream(spark, sf_dir, f"{work}/arrivals")
-        query = start_ad_stream(clicks, job, f"{work}/checkpoint", available_now=True)
-        query.awaitTermination()
+        queries = start_ad_stream(clicks, job, f"{work}/checkpoint", available_now=True, tables=tables)
+        queries.awaitTermination()
     return job
 
 
-LAST_BATCH = 2
+def _daily_replay(spark: SparkSession, sf_dir: str, *tables: str) -> AdClickStream:
+    """The job over thirty batches, one a day."""
+    work = work_dir(spark, "daily-replay")
+    job = AdClickStream(spark, f"{work}/state", threshold=THRESHOLD)
+    for _ in _arrivals(spark, sf_dir, f"{work}/arrivals", 1):
+        pass
+    clicks = _click_stream(spark, sf_dir, f"{work}/arrivals", files=1)
+    queries = start_ad_stream(clicks, job, f"{work}/checkpoint", available_now=True, tables=tables)
+    queries.awaitTermination()
+    return job
 
 
 @_query("ad_clean_clicks_stream")
@@ -457,12 +504,74 @@ def _ad_clean_clicks_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("ad_blacklist_stream")
 def _ad_blacklist_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _replay(spark, sf_dir).blacklist(LAST_BATCH)
+    return _replay(spark, sf_dir).blacklist()
 
 
 @_query("ad_province_top3_stream")
 def _ad_province_top3_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _replay(spark, sf_dir).ad_province_top(LAST_BATCH)
+    return _replay(spark, sf_dir, "ad_stat").ad_province_top()
+
+
+@_query("ad_user_counts_stream")
+def _ad_user_counts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _daily_replay(spark, sf_dir).user_ad_counts()
+
+
+@_query("ad_published_stat_stream")
+def _ad_published_stat_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _daily_replay(spark, sf_dir, "ad_stat").ad_stat()
+
+
+# --- tables -------------------------------------------------------------------
+
+
+def _halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Totals over the clicks of even events, and over all of them for the dates from the 16th on."""
+    clicks = fx.ad_click_log(spark, sf_dir)
+    return ads.ad_stat(clicks.where("event_id % 2 = 0")), ads.ad_stat(clicks.where("date >= '2024-01-16'"))
+
+
+@_query("table_upsert")
+def _table_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    old, new = _halves(spark, sf_dir)
+    work = work_dir(spark, "upsert")
+    append(old, f"{work}/table", ["date"])
+    new.write.parquet(f"{work}/new")
+    stored = spark.read.schema(new.schema).parquet(f"{work}/new")
+    upsert(stored, f"{work}/table", ["date", "province", "city", "ad_id"], ["date"])
+    return spark.read.schema(old.schema).parquet(f"{work}/table")
+
+
+@_query("table_append")
+def _table_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{work_dir(spark, 'append')}/table"
+    old, new = _halves(spark, sf_dir)
+    for rows in (old, new):
+        append(rows, path, ["date"])
+    return spark.read.schema(old.schema).parquet(path)
+
+
+@_query("table_replace")
+def _table_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{work_dir(spark, 'replace')}/table"
+    old, new = _halves(spark, sf_dir)
+    append(old, path, ["date", "province"])
+    replace_partitions(new.where("province = 'ASIA'"), path, ["date", "province"])
+    return spark.read.schema(old.schema).parquet(path)
+
+
+@_query("result_replace")
+def _result_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Results of a task that ran, ran again over another range and then broke off in a third run."""
+    root = work_dir(spark, "results")
+    log = fx.user_visit_action(spark, sf_dir)
+    counts = {span: log.where(F.col("date").between(*span)).groupBy("date").count() for span in (WHOLE, RANGE)}
+    for span in (WHOLE, RANGE):
+        run = TaskRun(spark, root, TASK)
+        run.write(counts[span], "actions_per_day")
+        run.commit()
+    TaskRun(spark, root, TASK).write(counts[WHOLE], "actions_per_day")
+    return read_results(spark, root, "actions_per_day").withColumnRenamed("count", "actions")
 
 
 # --- functions ----------------------------------------------------------------
@@ -551,3 +660,36 @@ def _empty_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         fn.is_empty(text).cast("int").alias("is_empty"),
         fn.is_not_empty(text).cast("int").alias("is_not_empty"),
     )
+
+
+@_query("sql_functions")
+def _sql_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The registered SQL functions, called from SQL."""
+    fn.register_functions(spark)
+    cities = fx.city_info(spark, sf_dir).withColumn("doc", F.to_json(F.struct("city_name", "city_id")))
+    return cities.selectExpr(
+        "city_id", "concat_long_string(city_id, city_name, ':') AS text", "json_field(doc, 'city_name') AS name"
+    )
+
+
+@_query("days_from_today")
+def _days_from_today(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether an event's day is before yesterday and before today."""
+    day = F.col("ts").cast("date").cast("string")
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return events.groupBy(day.alias("date")).agg(
+        F.count_if(day < fn.yesterday()).alias("before_yesterday"), F.count_if(day < fn.today()).alias("before_today")
+    )
+
+
+@_query("json_parameters")
+def _json_parameters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions filtered by parameters in the JSON form of a task."""
+    text = (
+        f'{{"startDate":["{RANGE[0]}"],"endDate":["{RANGE[1]}"],"startAge":["25"],"endAge":["40"],'
+        '"sex":["male"],"cities":[],"keywords":[""]}'
+    )
+    params = TaskParams.from_json(text)
+    log = fx.user_visit_action(spark, sf_dir)
+    job = SessionAnalysis(log, fx.user_info(spark, sf_dir), params, TASK)
+    return job.sessions.groupBy("user_id").agg(F.count(F.lit(1)).alias("sessions"))

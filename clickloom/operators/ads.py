@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.operators.joins import hot_key_join
@@ -70,8 +70,9 @@ def ad_province_top(counts: DataFrame, n: int = 3) -> DataFrame:
     ).select("date", "province", "ad_id", "click_count")
 
 
-def _minute_columns(counted: DataFrame, minute: str) -> DataFrame:
+def _minute_columns(counted: DataFrame, minute: str, *first: str) -> DataFrame:
     return counted.select(
+        *first,
         F.col(minute).cast("date").cast("string").alias("date"),
         F.date_format(minute, "HH").alias("hour"),
         F.date_format(minute, "mm").alias("minute"),
@@ -98,3 +99,46 @@ def last_hour(trend: DataFrame, now: str) -> DataFrame:
     start = end - F.expr("interval 60 minutes")
     days = F.col("date").between(start.cast("date").cast("string"), end.cast("date").cast("string"))
     return trend.where(days & (minute > start) & (minute <= end))
+
+
+def ad_click_panes(clicks: DataFrame, arrival: str, pane: str = "10 seconds") -> DataFrame:
+    """Clicks per arrival pane, event minute and ad: (pane, minute, ad_id, click_count)."""
+    return (
+        clicks.groupBy(F.window(arrival, pane).alias("_pane"), F.date_trunc("minute", "ts").alias("minute"), "ad_id")
+        .agg(F.count(F.lit(1)).alias("click_count"))
+        .select(F.col("_pane.start").alias("pane"), "minute", "ad_id", "click_count")
+    )
+
+
+def sliding_trend(panes: DataFrame, pane_seconds: int = 10, window_seconds: int = 3600) -> DataFrame:
+    """What a window over the last ``window_seconds`` of arrivals shows, for every slide at which it changes.
+
+    (slide_end, date, hour, minute, ad_id, click_count): from ``slide_end`` on, until the next row of the same minute and ad, the
+    window holds so many clicks; 0 when the last one has left. A pane is added at its end and taken back one window later,
+    so a click costs two rows, however many windows overlap on it.
+    """
+    moves = F.explode(
+        F.array(
+            F.struct(F.lit(pane_seconds).alias("after"), F.col("click_count").alias("change")),
+            F.struct(F.lit(pane_seconds + window_seconds).alias("after"), (-F.col("click_count")).alias("change")),
+        )
+    )
+    seconds = (F.unix_seconds("pane") + F.col("move.after")).alias("slide")
+    changes = (
+        panes.select("pane", "minute", "ad_id", "click_count", moves.alias("move"))
+        .groupBy(seconds, "minute", "ad_id")
+        .agg(F.sum("move.change").alias("change"))
+    )
+    so_far = Window.partitionBy("minute", "ad_id").orderBy("slide")
+    counted = changes.withColumn("click_count", F.sum("change").over(so_far))
+    return _minute_columns(counted.withColumn("slide_end", F.timestamp_seconds("slide")), "minute", "slide_end")
+
+
+def window_at(panes: DataFrame, slide_end: str, pane_seconds: int = 10, window_seconds: int = 3600) -> DataFrame:
+    """(date, hour, minute, ad_id, click_count) of the window that ends at the time text ``slide_end``."""
+    end = F.lit(slide_end).cast("timestamp")
+    inside = (F.col("pane") >= end - F.make_interval(secs=F.lit(window_seconds))) & (
+        F.col("pane") <= end - F.make_interval(secs=F.lit(pane_seconds))
+    )
+    counted = panes.where(inside).groupBy("minute", "ad_id").agg(F.sum("click_count").alias("click_count"))
+    return _minute_columns(counted, "minute")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from clickloom.operators import funnel
 from clickloom.params import TaskParams
-from clickloom.sinks import write_result
+from clickloom.sinks import TaskRun
 from clickloom.sources import actions_by_date
 
 
@@ -28,5 +28,8 @@ class FunnelAnalysis:
     def rate_string(self) -> DataFrame:
         return funnel.page_convert_rate_string(self.rates(), self._task_id)
 
-    def write_all(self, root: str, replace: bool = False) -> None:
-        write_result(self.rate_string(), root, "page_split_convert_rate", self._task_id, replace)
+    def write_all(self, root: str) -> None:
+        """Store the result below ``root``, in place of an earlier run of the task."""
+        run = TaskRun(self._actions.sparkSession, root, self._task_id)
+        run.write(self.rate_string(), "page_split_convert_rate")
+        run.commit()

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from clickloom.operators import products
 from clickloom.params import TaskParams
-from clickloom.sinks import write_result
+from clickloom.sinks import TaskRun
 from clickloom.sources import click_actions
 
 
@@ -39,5 +39,8 @@ class ProductAnalysis:
         )
         return top.select(F.lit(self._task_id).cast("bigint").alias("taskid"), "*")
 
-    def write_all(self, root: str, replace: bool = False) -> None:
-        write_result(self.top_products(), root, "area_top3_product", self._task_id, replace)
+    def write_all(self, root: str) -> None:
+        """Store the result below ``root``, in place of an earlier run of the task."""
+        run = TaskRun(self._clicks.sparkSession, root, self._task_id)
+        run.write(self.top_products(), "area_top3_product")
+        run.commit()

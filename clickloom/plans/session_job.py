@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from clickloom.operators import categories, sampling, sessions
 from clickloom.operators.filters import filter_sessions, user_filter
 from clickloom.params import TaskParams
-from clickloom.sinks import write_result
+from clickloom.sinks import TaskRun
 from clickloom.sources import actions_by_date
 
 
@@ -104,8 +104,9 @@ class SessionAnalysis:
     def _tasked(self, df: DataFrame) -> DataFrame:
         return df.select(F.lit(self._task_id).cast("bigint").alias("taskid"), "*")
 
-    def write_all(self, root: str, replace: bool = False) -> None:
-        """Store the results below ``root``; with ``replace``, in place of an earlier run of the task."""
+    def write_all(self, root: str) -> None:
+        """Store the results below ``root``, all together in place of those of an earlier run of the task."""
+        run = TaskRun(self._actions.sparkSession, root, self._task_id)
         cached = [self._narrow, self._sampled_ids, self._top_categories, self._top_sessions]
         for df in cached:
             df.persist(StorageLevel.MEMORY_AND_DISK)
@@ -117,7 +118,8 @@ class SessionAnalysis:
                 ("top10_category_session", self.top_sessions()),
                 ("session_detail", self.sample_detail().unionByName(self.top_session_detail())),
             ):
-                write_result(result, root, name, self._task_id, replace)
+                run.write(result, name)
+            run.commit()
         finally:
             for df in cached:
                 df.unpersist()

@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Name of the observed metrics of the streaming source.
+AD_LOG = "ad_log"
 # Milliseconds of the years 1 to 9999, less a day at both ends for the time zones.
 _MILLIS = (-62_135_510_400_000, 253_402_214_399_999)
 
@@ -41,10 +43,13 @@ def parse_ad_log(lines: DataFrame, col: str = "value") -> DataFrame:
 
     Count the lines left out with :func:`ad_log_rejects`. Works on batch and streaming input.
     """
+    return _parsed(_tokens(lines, col))
+
+
+def _parsed(tokens: DataFrame) -> DataFrame:
     ts = F.timestamp_millis(_number(0))
     return (
-        _tokens(lines, col)
-        .where(_readable())
+        tokens.where(_readable())
         .select(
             ts.alias("ts"),
             ts.cast("date").cast("string").alias("date"),
@@ -58,9 +63,11 @@ def parse_ad_log(lines: DataFrame, col: str = "value") -> DataFrame:
 
 def ad_log_rejects(lines: DataFrame, col: str = "value") -> DataFrame:
     """One row with the number of lines :func:`parse_ad_log` cannot read."""
-    return _tokens(lines, col).agg(
-        F.count_if(~_readable()).alias("rejected"), F.count(F.lit(1)).alias("lines")
-    )
+    return _tokens(lines, col).agg(*_line_counts())
+
+
+def _line_counts() -> list[Column]:
+    return [F.count_if(~_readable()).alias("rejected"), F.count(F.lit(1)).alias("lines")]
 
 
 def ad_stream(spark: SparkSession, source: str, options: Mapping[str, str]) -> DataFrame:
@@ -69,6 +76,8 @@ def ad_stream(spark: SparkSession, source: str, options: Mapping[str, str]) -> D
     ``source`` is any streaming text source with a ``value`` column: ``kafka`` (options
     ``kafka.bootstrap.servers``, ``subscribe`` and, to bound a micro-batch, ``maxOffsetsPerTrigger``)
     or ``text`` (option ``path``, and ``maxFilesPerTrigger``). The Kafka connector is not part of a
-    plain Spark installation; add it with ``spark.jars.packages``.
+    plain Spark installation; add it with ``spark.jars.packages``. Lines and unreadable lines are counted
+    on the way, as the observed metrics ``AD_LOG`` of every batch (``streaming.batch_counts``).
     """
-    return parse_ad_log(spark.readStream.format(source).options(**options).load())
+    lines = spark.readStream.format(source).options(**options).load()
+    return _parsed(_tokens(lines, "value").observe(AD_LOG, *_line_counts()))

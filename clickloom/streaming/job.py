@@ -2,41 +2,40 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Sequence
+from dataclasses import dataclass, field
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from clickloom.operators.ads import (
-    ad_blacklist,
-    ad_click_trend,
-    ad_province_counts,
-    ad_province_top,
-    ad_stat,
-    daily_user_ad_clicks,
-    drop_blacklisted,
+from clickloom.operators.ads import ad_province_counts, ad_province_top
+from clickloom.sinks import replace_partitions, touched_partitions
+from clickloom.streaming.screen import BAN, CLICK, LOG, TOTAL, screened
+from clickloom.streaming.stateful import (
+    ad_stat_stream,
+    ad_trend_stream,
+    state_settings,
+    start_upsert,
 )
-from clickloom.sinks import replace_partitions
-from clickloom.streaming.state import BatchLog
 
-_CLICK = "ts timestamp, date string, province string, city string, user_id bigint, ad_id bigint"
-_COUNTS = "date string, user_id bigint, ad_id bigint, click_count bigint"
+#: Tables that follow the screened log; ``ad_stat`` brings the ranking ``ad_province_top3`` with it.
+FOLLOWERS = ("ad_stat", "ad_click_trend")
 _STAT = "date string, province string, city string, ad_id bigint, click_count bigint"
+_TOP = "date string, province string, ad_id bigint, click_count bigint"
 _TREND = "date string, hour string, minute string, ad_id bigint, click_count bigint"
 
 
-def _total(rows: DataFrame) -> DataFrame:
-    keys = [name for name in rows.columns if name != "click_count"]
-    return rows.groupBy(*keys).agg(F.sum("click_count").alias("click_count"))
-
-
 class AdClickStream:
-    """State of the job below ``root``, a folder that all executors share.
+    """Tables of the job below ``root``, a folder that all executors share.
+
+    A first stream screens the clicks by the blacklist as it stood before their batch (:func:`screened`) and writes a log through
+    Spark's file sink, so a repeated batch leaves the same rows. Two more streams follow the log: one keeps ``ad_stat`` and
+    ranks again the (date, province) groups that changed, one keeps ``ad_click_trend``. All state is Spark's and
+    lies in the queries' checkpoints; readers see the newest tables and need no batch number.
 
-    A batch is filtered by the blacklist as it stood before the batch. Clicks of the batch in which a user
-    reaches ``threshold`` on one ad and day are kept; later batches of that user are dropped for
-    every ad. ``keep_days`` drops totals of dates that much older than the newest one when an epoch
-    ends; by default nothing is dropped. With ``publish_to``, every batch also rewrites the tables
-    ``ad_stat``, ``ad_province_top3`` and ``ad_click_trend`` there, for the dates it touched.
+    ``keep_days`` frees totals that no click has come for, see :func:`screened`; ``lateness`` frees state of the two
+    followers, see :func:`ad_stat_stream`. By default nothing is dropped.
     """
 
     def __init__(
@@ -44,102 +43,111 @@ class AdClickStream:
         spark: SparkSession,
         root: str,
         threshold: int = 100,
-        epoch_batches: int = 360,
         keep_days: int | None = None,
-        publish_to: str | None = None,
+        lateness: str | None = None,
+        n: int = 3,
     ) -> None:
+        self._spark = spark
+        self._root = root
         self._threshold = threshold
-        self._publish_to = publish_to
         self._keep_days = keep_days
-
-        def log(name: str, schema: str, partition_by: tuple[str, ...] = ()) -> BatchLog:
-            return BatchLog(spark, f"{root}/{name}", schema, epoch_batches, partition_by)
-
-        self._spark = spark
-        self._clean_path = f"{root}/clean"
-        self._clean = log("clean", _CLICK)
-        self._counts = log("ad_user_click_count", _COUNTS, ("date",))
-        self._blacklist = log("ad_blacklist", "user_id bigint, crossed_in bigint")
-        self._stat = log("ad_stat", _STAT, ("date",))
-        self._trend = log("ad_click_trend", _TREND, ("date",))
-
-    def process_batch(self, clicks: DataFrame, batch_id: int) -> None:
-        """``foreachBatch`` step. Every write is keyed by the batch, so a repeated batch changes nothing."""
-        columns = [field.split()[0] for field in _CLICK.split(", ")]
-        allowed = drop_blacklisted(clicks.select(*columns), self._banned(batch_id - 1))
-        # Written once and read back: the counts below do not read the source again.
-        self._clean.put(allowed.select(*columns), batch_id)
-        clean = self._clean.batch(batch_id)
-        self._counts.put(daily_user_ad_clicks(clean), batch_id)
-        self._stat.put(ad_stat(clean), batch_id)
-        self._trend.put(ad_click_trend(clean), batch_id)
-
-        # Two values come to the driver; they become literals that prune the date partitions of the bases.
-        first, last = self._counts.batch(batch_id).agg(F.min("date"), F.max("date")).first()
-        dates = F.col("date").between(first, last)
-
-        totals = self._batch_totals(batch_id, dates)
-        over = ad_blacklist(totals, self._threshold)
-        new = over.withColumn("crossed_in", F.lit(batch_id).cast("bigint"))
-        self._blacklist.put(new, batch_id)
-
-        self._blacklist.fold(batch_id, lambda rows: rows)
-        for table in (self._counts, self._stat, self._trend):
-            table.fold(batch_id, lambda rows: self._recent(_total(rows)))
-
-        if self._publish_to and first is not None:
-            self._publish(batch_id, dates)
-
-    def _batch_totals(self, batch_id: int, dates: Column) -> DataFrame:
-        """Running totals of the (date, user, ad) keys that occur in this batch."""
-        keys = ["date", "user_id", "ad_id"]
-        fresh = self._counts.batch(batch_id).select(*keys)
-        stored = self._counts.until(batch_id).where(dates)
-        return _total(stored.join(fresh, keys, "left_semi"))
-
-    def _publish(self, batch_id: int, dates: Column) -> None:
-        stat = self.ad_stat(batch_id).where(dates)
-        tables = {
-            "ad_stat": stat,
-            "ad_province_top3": ad_province_top(ad_province_counts(stat)),
-            "ad_click_trend": self.ad_click_trend(batch_id).where(dates),
-        }
-        for name, rows in tables.items():
-            replace_partitions(rows, f"{self._publish_to}/{name}", ["date"])
-
-    def _recent(self, totals: DataFrame) -> DataFrame:
-        if self._keep_days is None:
-            return totals
-        # A click dated after today, from a wrong clock, must not push the others out.
-        past = totals.where(F.col("date").cast("date") <= F.current_date())
-        newest = F.coalesce(past.select(F.max("date").cast("date")).scalar(), F.current_date())
-        return totals.where(F.col("date").cast("date") > F.date_sub(newest, self._keep_days))
-
-    def _banned(self, batch_id: int) -> DataFrame:
-        return self._blacklist.until(batch_id)
-
-    # --- state after a batch ------------------------------------------------
+        self._lateness = lateness
+        self._n = n
+
+    # --- streams ------------------------------------------------------------
+
+    def start_screen(self, clicks: DataFrame, checkpoint: str, trigger: dict) -> StreamingQuery:
+        """Screen ``clicks`` (ts, date, province, city, user_id, ad_id) into the log."""
+        rows = screened(clicks, self._threshold, self._keep_days)
+        with state_settings(self._spark):
+            return (
+                rows.writeStream.format("parquet")
+                .partitionBy("kind", "date")
+                .option("path", self._path("log"))
+                .option("checkpointLocation", f"{checkpoint}/screen")
+                .trigger(**trigger)
+                .start()
+            )
+
+    def start_followers(
+        self, checkpoint: str, interval: str, available_now: bool, tables: Sequence[str] = FOLLOWERS
+    ) -> list[StreamingQuery]:
+        """Keep ``tables`` up with the log, which must exist."""
+        passed = self._spark.readStream.schema(LOG).parquet(self._path("log")).where(F.col("kind") == CLICK)
+
+        def start(name: str) -> StreamingQuery:
+            if name == "ad_stat":
+                counts, then = ad_stat_stream(passed, self._lateness), self._rank_again
+                keys, by = ["date", "province", "city", "ad_id"], ["date", "province"]
+            else:
+                counts, then = ad_trend_stream(passed, self._lateness), None
+                keys, by = ["date", "hour", "minute", "ad_id"], ["date", "hour"]
+            place = f"{checkpoint}/{name}"
+            return start_upsert(counts, self._path(name), keys, place, interval, available_now, by, then)
+
+        with state_settings(self._spark):
+            return [start(name) for name in tables]
+
+    def _rank_again(self, changed: DataFrame) -> None:
+        """Rewrite the ranking of the (date, province) groups in ``changed``."""
+        by = ["date", "province"]
+        groups = touched_partitions(self.ad_stat(), changed, by)
+        top = ad_province_top(ad_province_counts(groups), self._n)
+        replace_partitions(top, self._path("ad_province_top3"), by)
+
+    # --- tables -------------------------------------------------------------
+
+    def _path(self, name: str) -> str:
+        return f"{self._root}/{name}"
+
+    def _table(self, name: str, schema: str) -> DataFrame:
+        # Partition columns come last from files.
+        columns = [column.split()[0] for column in schema.split(", ")]
+        return self._spark.read.schema(schema).parquet(self._path(name)).select(*columns)
+
+    def _log(self, kind: str) -> DataFrame:
+        return self._table("log", LOG).where(F.col("kind") == kind)
 
     def clean_clicks(self) -> DataFrame:
         """All clicks that passed, with the ``batch_id`` that brought them."""
-        schema = f"{_CLICK}, epoch bigint, batch_id bigint"
-        return self._spark.read.schema(schema).parquet(f"{self._clean_path}/delta").drop("epoch")
+        return self._log(CLICK).select("ts", "date", "province", "city", "user_id", "ad_id", "batch_id")
 
-    def blacklist(self, batch_id: int) -> DataFrame:
-        """(user_id, crossed_in) of the users blacklisted up to ``batch_id``, with the batch that did it."""
-        return self._banned(batch_id)
+    def blacklist(self) -> DataFrame:
+        """(user_id, crossed_in) of the blacklisted users, with the batch that did it."""
+        return self._log(BAN).select("user_id", F.col("batch_id").alias("crossed_in"))
 
-    def user_ad_counts(self, batch_id: int) -> DataFrame:
-        return _total(self._counts.until(batch_id))
+    def user_ad_counts(self) -> DataFrame:
+        """Running totals per (date, user, ad). Every batch logs the totals it changed; they only grow."""
+        totals = self._log(TOTAL).groupBy("date", "user_id", "ad_id")
+        return totals.agg(F.max("click_count").alias("click_count"))
 
-    def ad_stat(self, batch_id: int) -> DataFrame:
-        return _total(self._stat.until(batch_id))
+    def ad_stat(self) -> DataFrame:
+        """Running totals per (date, province, city, ad)."""
+        return self._table("ad_stat", _STAT)
 
-    def ad_province_top(self, batch_id: int, n: int = 3) -> DataFrame:
-        return ad_province_top(ad_province_counts(self.ad_stat(batch_id)), n)
+    def ad_province_top(self) -> DataFrame:
+        """Most clicked ads per (date, province)."""
+        return self._table("ad_province_top3", _TOP)
 
-    def ad_click_trend(self, batch_id: int) -> DataFrame:
-        return _total(self._trend.until(batch_id))
+    def ad_click_trend(self) -> DataFrame:
+        """Running totals per (date, hour, minute, ad)."""
+        return self._table("ad_click_trend", _TREND)
+
+
+@dataclass
+class AdQueries:
+    """The running streams of a job: the screen and its followers."""
+
+    screen: StreamingQuery
+    followers: list[StreamingQuery] = field(default_factory=list)
+
+    def awaitTermination(self) -> None:
+        for query in (self.screen, *self.followers):
+            query.awaitTermination()
+
+    def stop(self) -> None:
+        for query in (self.screen, *self.followers):
+            query.stop()
 
 
 def start_ad_stream(
@@ -148,11 +156,14 @@ def start_ad_stream(
     checkpoint: str,
     interval: str = "5 seconds",
     available_now: bool = False,
-) -> StreamingQuery:
-    """Run the job on a streaming click log, every ``interval`` or once over what is there."""
-    writer = clicks.writeStream.foreachBatch(stream.process_batch).option(
-        "checkpointLocation", checkpoint
-    )
+    tables: Sequence[str] = FOLLOWERS,
+) -> AdQueries:
+    """Run the job on a streaming click log, every ``interval`` or once over what is there, and keep up ``tables``.
+
+    Once over what is there, the screen is done when this returns, and its followers have started.
+    """
+    trigger = {"availableNow": True} if available_now else {"processingTime": interval}
+    screen = stream.start_screen(clicks, checkpoint, trigger)
     if available_now:
-        return writer.trigger(availableNow=True).start()
-    return writer.trigger(processingTime=interval).start()
+        screen.awaitTermination()
+    return AdQueries(screen, stream.start_followers(checkpoint, interval, available_now, tables))

@@ -3,8 +3,6 @@ from __future__ import annotations
 import pytest
 
 from clickloom import sinks
-from clickloom.sinks.tables import _any
-from pyspark.sql import functions as F
 
 SCHEMA = "date string, k bigint, v bigint"
 
@@ -35,18 +33,37 @@ def test_upsert_sets_by_key_and_can_be_repeated(spark, path):
     assert len(table(spark, path)) == 5
 
 
-def test_upsert_reads_touched_partitions_only(spark, path, monkeypatch):
+def test_upsert_takes_null_partitions_and_keys(spark, path):
+    sinks.append(spark.createDataFrame([(None, 1, 10), ("d1", None, 20), ("", 1, 5)], SCHEMA), path, ["date"])
+    sinks.upsert(spark.createDataFrame([(None, 1, 11), ("d1", None, 21)], SCHEMA), path, ["date", "k"], ["date"])
+    got = spark.read.schema(SCHEMA).parquet(path).select("date", "k", "v").collect()
+    # Files know no empty partition value: it is null there.
+    assert sorted((r.date or "", r.k or 0, r.v) for r in got) == [("", 1, 11), ("d1", 0, 21)]
+
+
+def test_upsert_prunes_at_run_time(spark, path, monkeypatch):
     old = spark.createDataFrame([("d1", 1, 10), ("d2", 1, 30)], SCHEMA)
     sinks.append(old, path, ["date"])
     seen = []
-    monkeypatch.setattr(
-        "clickloom.sinks.tables.replace_partitions",
-        lambda df, *_: seen.append(df._jdf.queryExecution().executedPlan().toString()),
-    )
+    monkeypatch.setattr("clickloom.sinks.tables.replace_partitions", lambda df, *_: seen.append(df))
     new = spark.createDataFrame([("d1", 1, 11)], SCHEMA)
-    sinks.upsert(new, path, ["date", "k"], ["date"])
-    filters = seen[0].split("PartitionFilters: [")[1].split("]")[0]
-    assert "date" in filters and "d1" in filters
+    new.write.parquet(f"{path}-new")
+    sinks.upsert(spark.read.schema(SCHEMA).parquet(f"{path}-new"), path, ["date", "k"], ["date"])
+    (merged,) = seen
+    assert [tuple(r) for r in merged.collect()] == [("d1", 1, 11)]
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_upsert_over_many_partitions_fetches_none(spark, path, monkeypatch):
+    days = spark.range(3000).selectExpr("concat('d', id % 1500) AS date", "id AS k", "id AS v")
+    sinks.append(days.coalesce(1), path, ["date"])
+    changed = days.selectExpr("date", "k", "v + 1 AS v")
+    monkeypatch.setattr(type(changed), "collect", None)
+    sinks.upsert(changed, path, ["date", "k"], ["date"])
+    monkeypatch.undo()
+    stored = spark.read.schema(SCHEMA).parquet(path)
+    assert stored.where("v = k + 1").count() == stored.count() == 3000
 
 
 def test_upsert_needs_partition_columns_among_the_keys(spark, path):
@@ -74,6 +91,28 @@ def test_results_are_appended_per_task(spark, path):
     assert [tuple(r) for r in spark.read.parquet(f"{path}/r").collect()] == [(1, 5)]
 
 
-def test_upsert_takes_many_partitions_in_one_filter(spark):
-    rows = spark.range(3).where(_any([F.col("id") == F.lit(i) for i in range(1, 3000)]))
-    assert sorted(r.id for r in rows.collect()) == [1, 2]
+def results(spark, root, name="r"):
+    return sorted(tuple(r) for r in sinks.read_results(spark, root, name).collect())
+
+
+def test_results_show_together_and_replace_those_before(spark, path):
+    def run(task, *values, commit=True):
+        job = sinks.TaskRun(spark, path, task)
+        job.write(spark.createDataFrame([(v,) for v in values], "x bigint"), "r")
+        if commit:
+            job.write(spark.createDataFrame([(-v, task) for v in values], "y bigint, taskid bigint"), "s")
+            job.commit()
+
+    run(4, 1, 2)
+    run(5, 3)
+    assert results(spark, path) == [(4, 1), (4, 2), (5, 3)]
+    # Killed between two results: nothing of it shows, and the next run leaves one set.
+    run(4, 7, commit=False)
+    assert results(spark, path) == [(4, 1), (4, 2), (5, 3)]
+    run(4, 8)
+    assert results(spark, path) == [(4, 8), (5, 3)]
+    assert results(spark, path, "s") == [(4, -8), (5, -3)]
+    empty = sinks.TaskRun(spark, path, 5)
+    empty.write(spark.createDataFrame([], "x bigint"), "r")
+    empty.commit()
+    assert results(spark, path) == [(4, 8)]

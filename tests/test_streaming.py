@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import time
 from collections import Counter
+from datetime import timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +13,8 @@ from clickloom.streaming import (
     AdClickStream,
     ad_stat_stream,
     ad_trend_stream,
+    batch_counts,
+    screened,
     start_ad_stream,
     start_upsert,
 )
@@ -56,10 +60,11 @@ def arrive(folders, name, lines):
     (folders / "in" / f"{name}.txt").write_text("\n".join(lines) + "\n")
 
 
-def run_job(spark, folders, job):
-    clicks = ad_stream(spark, "text", {"path": str(folders / "in")})
-    query = start_ad_stream(clicks, job, str(folders / "checkpoint"), available_now=True)
-    query.awaitTermination()
+def run_job(spark, folders, job, **options):
+    clicks = ad_stream(spark, "text", {"path": str(folders / "in"), **options})
+    queries = start_ad_stream(clicks, job, str(folders / "checkpoint"), available_now=True)
+    queries.awaitTermination()
+    return queries
 
 
 def bag(df, columns=None):
@@ -67,14 +72,12 @@ def bag(df, columns=None):
     return Counter(tuple(row) for row in df.select(columns or df.columns).collect())
 
 
-@pytest.mark.parametrize("epoch_batches", [2])
-def test_job_over_three_days(spark, folders, epoch_batches):
+def test_job_over_three_days(spark, folders):
     root = str(folders / "state")
-    publish = str(folders / "public")
     for number, lines in enumerate(DAYS):
         arrive(folders, f"day{number}", lines + BAD)
         # A new object every time, as after a restart.
-        job = AdClickStream(spark, root, 3, epoch_batches, publish_to=publish)
+        job = AdClickStream(spark, root, 3)
         run_job(spark, folders, job)
 
     everything = parse_ad_log(text_lines(spark, sum(DAYS, [])))
@@ -82,45 +85,157 @@ def test_job_over_three_days(spark, folders, epoch_batches):
     clean = ads.clean_clicks_by_day(everything, 3).select(*columns)
     assert clean.count() == 13
     assert bag(job.clean_clicks().select(*columns)) == bag(clean)
-    assert bag(job.blacklist(2)) == Counter({(7, 0): 1, (8, 1): 1})
-    assert bag(job.user_ad_counts(2)) == bag(ads.daily_user_ad_clicks(clean))
+    assert bag(job.blacklist()) == Counter({(7, 0): 1, (8, 1): 1})
+    assert bag(job.user_ad_counts()) == bag(ads.daily_user_ad_clicks(clean))
     stat = ads.ad_stat(clean)
-    top = ads.ad_province_top(ads.ad_province_counts(stat))
-    assert bag(job.ad_stat(2)) == bag(stat)
-    assert bag(job.ad_province_top(2)) == bag(top)
-    assert bag(job.ad_click_trend(2)) == bag(ads.ad_click_trend(clean))
-    for name, rows in (("ad_stat", stat), ("ad_province_top3", top)):
-        stored = spark.read.schema(rows.schema).parquet(f"{publish}/{name}")
-        assert bag(stored, rows.columns) == bag(rows)
-
-
-@pytest.mark.parametrize("epoch_batches", [1])
-def test_repeated_batches_change_nothing(spark, folders, epoch_batches):
-    job = AdClickStream(spark, str(folders / "state"), 3, epoch_batches)
-    for batch_id, lines in enumerate(DAYS):
-        batch = parse_ad_log(text_lines(spark, lines))
-        for _ in range(2):
-            job.process_batch(batch, batch_id)
-    assert bag(job.blacklist(2)) == Counter({(7, 0): 1, (8, 1): 1})
+    assert bag(job.ad_stat()) == bag(stat)
+    assert bag(job.ad_province_top()) == bag(ads.ad_province_top(ads.ad_province_counts(stat)))
+    assert bag(job.ad_click_trend()) == bag(ads.ad_click_trend(clean))
+
+
+def test_repeated_batches_change_nothing(spark, folders):
+    job = AdClickStream(spark, str(folders / "state"), 3)
+    for number, lines in enumerate(DAYS):
+        arrive(folders, f"day{number}", lines)
+        run_job(spark, folders, job)
+        # A batch whose commit was lost runs again from the state before it.
+        for query in ("screen", "ad_stat", "ad_click_trend"):
+            commits = folders / "checkpoint" / query / "commits"
+            (commits / str(number)).unlink()
+            (commits / f".{number}.crc").unlink(missing_ok=True)
+        run_job(spark, folders, job)
+    assert bag(job.blacklist()) == Counter({(7, 0): 1, (8, 1): 1})
     assert job.clean_clicks().count() == 13
-    assert job.user_ad_counts(2).agg(F.sum("click_count")).first()[0] == 13
+    assert job.user_ad_counts().agg(F.sum("click_count")).first()[0] == 13
+    assert job.ad_stat().agg(F.sum("click_count")).first()[0] == 13
+    assert job.ad_click_trend().agg(F.sum("click_count")).first()[0] == 13
 
 
-def test_threshold_is_reached_over_batches(spark, folders):
+def test_threshold_is_reached_over_batches_of_any_size(spark, folders):
     job = AdClickStream(spark, str(folders / "state"), 3)
-    for batch_id in range(4):
-        job.process_batch(parse_ad_log(text_lines(spark, [line(1, 7, 1, offset=batch_id)])), batch_id)
-    assert bag(job.blacklist(3)) == Counter({(7, 2): 1})
+    for number in range(5):
+        arrive(folders, f"b{number}", [line(1, 7, 1, offset=number)])
+        if number in (1, 2, 4):
+            # Two clicks come together, then one, then two.
+            run_job(spark, folders, job)
+    assert bag(job.blacklist()) == Counter({(7, 1): 1})
     assert job.clean_clicks().count() == 3
+    assert bag(job.user_ad_counts()) == Counter({("2024-01-01", 7, 1, 3): 1})
+
+
+def test_no_click_however_dated_drops_another(spark, folders):
+    """A click of today, one of 1970 and a late one in a replay of older logs."""
+    now = f"{int(time.time() * 1000)} p1 c1 5 1"
+    stray = "1000 p1 c1 5 1"
+    job = AdClickStream(spark, str(folders / "state"), 3, keep_days=2)
+    days = [[line(1, 1, 1), now], [line(9, 1, 1), stray], [line(1, 1, 1, offset=5), line(9, 2, 1)]]
+    seen = []
+    for number, lines in enumerate(days):
+        arrive(folders, f"b{number}", lines)
+        run_job(spark, folders, job)
+        written = {str(f) for f in (folders / "state" / "ad_stat").rglob("*.parquet") if "1970" not in str(f)}
+        seen.append(({(r.date, r.click_count) for r in job.ad_stat().collect()}, written))
+    today = parse_ad_log(text_lines(spark, [now])).first().date
+    assert seen[1][0] == {("2024-01-01", 1), (today, 1), ("2024-01-09", 1), ("1970-01-01", 1)}
+    assert seen[2][0] == {("2024-01-01", 2), (today, 1), ("2024-01-09", 2), ("1970-01-01", 1)}
+    # Files of days without a new click stay as they are.
+    assert len(seen[1][1] & seen[0][1]) == 2
+    assert bag(job.user_ad_counts()) == Counter(
+        {
+            ("2024-01-01", 1, 1, 2): 1,
+            (today, 5, 1, 1): 1,
+            ("1970-01-01", 5, 1, 1): 1,
+            ("2024-01-09", 1, 1, 1): 1,
+            ("2024-01-09", 2, 1, 1): 1,
+        }
+    )
 
 
-def test_old_dates_are_dropped_on_request(spark, folders):
-    job = AdClickStream(spark, str(folders / "state"), 100, epoch_batches=1, keep_days=2)
-    for batch_id, lines in enumerate(DAYS):
-        job.process_batch(parse_ad_log(text_lines(spark, lines)), batch_id)
-    # The fold of the last batch kept days 2 and 3; a fourth batch reads from it.
-    job.process_batch(parse_ad_log(text_lines(spark, [line(3, 1, 1)])), 3)
-    assert sorted({r.date for r in job.ad_stat(3).collect()}) == ["2024-01-02", "2024-01-03"]
+def test_totals_that_nothing_comes_for_are_freed(spark, folders, monkeypatch):
+    # Two seconds instead of days.
+    monkeypatch.setattr("clickloom.streaming.job.screened", lambda c, n, _: screened(c, n, 2 / 86_400))
+    job = AdClickStream(spark, str(folders / "state"), 3, keep_days=1)
+    for number in range(3):
+        arrive(folders, f"b{number}", [line(1, 7, 1), line(1, 8, 1), line(1, 8, 1)])
+        run_job(spark, folders, job)
+        time.sleep(3)
+    # No total lived long enough to reach three.
+    assert job.blacklist().count() == 0
+    assert bag(job.user_ad_counts()) == Counter({("2024-01-01", 7, 1, 1): 1, ("2024-01-01", 8, 1, 2): 1})
+
+
+def test_small_batches_are_quick(spark, folders):
+    job = AdClickStream(spark, str(folders / "state"), 3)
+    for number in range(6):
+        arrive(folders, f"b{number}", [line(1, number, 1), line(1, 9, number)])
+    queries = run_job(spark, folders, job, maxFilesPerTrigger="1")
+    spent = sorted(p["durationMs"]["triggerExecution"] for p in queries.screen.recentProgress)
+    assert len(spent) == 6 and spent[3] < 5000
+
+
+def test_unreadable_and_late_lines_are_counted(spark, folders):
+    hour = 3_600_000
+    batches = [
+        [line(1, 1, 1, offset=10 * hour), *BAD],
+        [line(1, 1, 1, offset=13 * hour)],
+        [line(1, 1, 1, offset=10 * hour), BAD[0]],
+    ]
+    seen = {}
+    for number, lines in enumerate(batches):
+        arrive(folders, f"b{number}", lines)
+        clicks = ad_stream(spark, "text", {"path": str(folders / "in")})
+        keys = ["date", "hour", "minute", "ad_id"]
+        counts = ad_trend_stream(clicks, "60 minutes")
+        query = start_upsert(counts, str(folders / "t"), keys, str(folders / "cp"), available_now=True)
+        query.awaitTermination()
+        for r in batch_counts(query):
+            old = seen.get(r["batch_id"], {})
+            seen[r["batch_id"]] = {k: r[k] + old.get(k, 0) for k in ("lines", "rejected", "late")}
+    lines = sum(r["lines"] for r in seen.values())
+    rejected = sum(r["rejected"] for r in seen.values())
+    everything = text_lines(spark, sum(batches, []))
+    assert (rejected, lines) == tuple(ad_log_rejects(everything).first())
+    assert sum(r["late"] for r in seen.values()) == 1
+
+
+@pytest.mark.parametrize("zone", ["Asia/Shanghai", "Asia/Kolkata", "America/Sao_Paulo"])
+def test_days_are_those_of_the_session_zone(spark, folders, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        lines = [line(1, 1, 1, offset=i * 1_800_000) for i in range(96)]
+        arrive(folders, "b", lines)
+        counts = ad_stat_stream(ad_stream(spark, "text", {"path": str(folders / "in")}), "3 days")
+        stored = stream_into(spark, folders, counts, ["date", "province", "city", "ad_id"])
+        assert bag(stored) == bag(ads.ad_stat(parse_ad_log(text_lines(spark, lines))))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_sliding_windows_equal_counting_each(spark, folders):
+    offsets = [0, 3_000, 9_999, 10_000, 59_000, 60_000, 3_599_000, 3_600_000, 3_605_000, 9_000_000]
+    clicks = parse_ad_log(text_lines(spark, [line(1, 1, i % 2, offset=o) for i, o in enumerate(offsets)]))
+    # They arrive up to half an hour later.
+    late = clicks.withColumn("arrival", F.col("ts") + F.make_interval(secs=F.pmod(F.hash("ts"), F.lit(1800))))
+    panes = ads.ad_click_panes(late, "arrival")
+    arrived = [(r.arrival, r.ts.replace(second=0, microsecond=0), r.ad_id) for r in late.collect()]
+    slides = ads.sliding_trend(panes).collect()
+    assert len(slides) <= 2 * len(offsets)
+    for r in slides:
+        minute = (f"{r.date} {r.hour}:{r.minute}", r.ad_id)
+        low = r.slide_end - timedelta(hours=1)
+        inside = [(m.strftime("%Y-%m-%d %H:%M"), ad) for a, m, ad in arrived if low <= a < r.slide_end]
+        assert r.click_count == inside.count(minute)
+    end = max(r.slide_end for r in slides if r.click_count)
+    shown = {(r.date, r.hour, r.minute, r.ad_id): r.click_count for r in slides if r.slide_end <= end}
+    found = ads.window_at(panes, end.strftime("%Y-%m-%d %H:%M:%S")).collect()
+    last = {}
+    for r in sorted(slides, key=lambda r: r.slide_end):
+        if r.slide_end <= end:
+            last[r.date, r.hour, r.minute, r.ad_id] = r.click_count
+    assert {(r.date, r.hour, r.minute, r.ad_id): r.click_count for r in found} == {
+        k: n for k, n in last.items() if n
+    } and set(last) == set(shown)
 
 
 def stream_into(spark, folders, counts, keys):
@@ -133,7 +248,7 @@ def test_running_totals_over_restarts(spark, folders):
     for number, lines in enumerate(DAYS):
         arrive(folders, f"day{number}", lines)
         clicks = ad_stream(spark, "text", {"path": str(folders / "in")})
-        counts = ad_stat_stream(clicks, "10 days")
+        counts = ad_stat_stream(clicks)
         stored = stream_into(spark, folders, counts, ["date", "province", "city", "ad_id"])
     everything = parse_ad_log(text_lines(spark, sum(DAYS, [])))
     assert bag(stored) == bag(ads.ad_stat(everything))
@@ -152,7 +267,7 @@ def test_minute_trend_and_late_clicks(spark, folders):
         arrive(folders, f"b{number}", lines)
         clicks = ad_stream(spark, "text", {"path": str(folders / "in")})
         keys = ["date", "hour", "minute", "ad_id"]
-        stored = stream_into(spark, folders, ad_trend_stream(clicks), keys)
+        stored = stream_into(spark, folders, ad_trend_stream(clicks, "60 minutes"), keys)
     assert bag(stored) == Counter(
         {
             ("2024-01-01", "10", "00", 1, 2): 1,
