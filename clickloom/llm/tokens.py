@@ -14,7 +14,7 @@ WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 # Ranges of letters, and ASCII signs but the apostrophe, which may join a word's end.
 LETTERS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f"
 SIGNS = r"!-&(-/:-@\[-`{-~"
-CACHED_PIECES = 300_000
+CACHED_PIECES = 600_000
 CACHED_LENGTH = 48
 BATCH_CHARS = 1_000_000
 
