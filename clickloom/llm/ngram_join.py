@@ -31,8 +31,13 @@ BATCH_BYTES = 2_000_000
 BLOCK_ELEMENTS = 400_000
 BAND_GROWTH = 1.5
 SIZED = "doc_id long, n long, h1 long, h2 long, nodes array<long>"
-SIGNED = "doc_id long, band int, sign long"
+SIGNED = "bucket int, edges boolean, data binary"
 SIGNED_ROWS = 200_000
+#: Bytes of a signature that travel; the bucket tells more of it. Sets that meet by chance are searched in vain.
+SIGN_BYTES = 6
+#: Elements whose signatures make up a bucket, and the least number of buckets.
+BUCKET_ELEMENTS = 2_000_000
+LEAST_BUCKETS = 64
 
 
 def in_chunks(texts: list[bytes]) -> Iterator[list[bytes]]:
@@ -80,9 +85,10 @@ class Bands:
                 break
             low, band = high + 1, band + 1
         found = [(band, high)]
-        if 100 * n // self.percent > high:
-            low = high + 1
-            found.append((band + 1, max(int(low * BAND_GROWTH), low + 1)))
+        while 100 * n // self.percent > high:
+            low, band = high + 1, band + 1
+            high = max(int(low * BAND_GROWTH), low + 1)
+            found.append((band, high))
         return found
 
 
@@ -194,30 +200,58 @@ def _sized(docs: DataFrame, n: int, bands: Bands) -> DataFrame:
     return docs.mapInArrow(measure, SIZED)
 
 
-def _signed(docs: DataFrame, n: int, bands: Bands) -> DataFrame:
-    """A row for every signature of every document."""
+def _packed(owners: np.ndarray, bands: np.ndarray, signs: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """``SIGNED`` rows of signatures: one row for each bucket, and one for the edges that these alone show.
+
+    A signature that several nodes have here is sent once, with an edge from each other node to the one that is sent.
+    """
+    order = np.argsort(signs, kind="stable")
+    owners, bands, signs = owners[order], bands[order], signs[order]
+    first = np.append(True, signs[1:] != signs[:-1])
+    nodes = band_nodes(owners, bands)
+    edges = np.stack([nodes, nodes[first][np.cumsum(first) - 1]])[:, ~first]
+    owners, bands, signs = owners[first], bands[first], signs[first]
+    bucket = ((signs >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+    # Neighbouring ids differ by little, which compresses.
+    order = np.lexsort((owners, bucket))
+    owners, bands, signs, bucket = owners[order], bands[order], signs[order], bucket[order]
+    starts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+    data = []
+    for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(bucket)], strict=True):
+        low = signs[a:b].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :SIGN_BYTES]
+        steps = np.diff(owners[a:b], prepend=0).astype("<i8")
+        data.append(low.tobytes() + steps.tobytes() + bands[a:b].astype(np.uint8).tobytes())
+    keys = bucket[starts].tolist()
+    if edges.shape[1]:
+        keys.append(int(edges[0, 0] % buckets))
+        data.append(np.unique(edges, axis=1).astype("<i8").tobytes())
+    kinds = [False] * len(starts) + [True] * (len(keys) - len(starts))
+    columns = [pa.array(keys, pa.int32()), pa.array(kinds, pa.bool_()), pa.array(data, pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, names=["bucket", "edges", "data"])
+
+
+def _signed(docs: DataFrame, n: int, bands: Bands, buckets: int) -> DataFrame:
+    """The signatures of all documents, packed by bucket: a row for each would take several times the room."""
 
     def rows(found: list[tuple[int, int, np.ndarray]]) -> pa.RecordBatch:
         sizes = [len(x) for _, _, x in found]
         owners = np.repeat(np.array([doc for doc, _, _ in found], np.int64), sizes)
-        tags = np.repeat(np.array([band for _, band, _ in found], np.int32), sizes)
-        flat = np.concatenate([x for _, _, x in found]).view(np.int64)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(owners), pa.array(tags), pa.array(flat)], names=["doc_id", "band", "sign"]
-        )
+        tags = np.repeat(np.array([band for _, band, _ in found], np.int64), sizes)
+        return _packed(owners, tags, np.concatenate([x for _, _, x in found]), buckets)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, size = [], 0
         for batch in batches:
-            found, size = [], 0
             sets = shingle_sets(batch["text"].cast(pa.binary()).to_pylist(), n)
             for doc, s in zip(batch["doc_id"].to_pylist(), sets, strict=True):
-                found += [(doc, band, own) for band, own in signatures(s, bands)]
-                size += sum(len(own) for _, _, own in found[-2:])
+                for band, own in signatures(s, bands):
+                    found.append((doc, band, own))
+                    size += len(own)
                 if size >= SIGNED_ROWS:
                     yield rows(found)
                     found, size = [], 0
-            if found:
-                yield rows(found)
+        if found:
+            yield rows(found)
 
     return docs.mapInArrow(sign, SIGNED)
 
@@ -225,23 +259,43 @@ def _signed(docs: DataFrame, n: int, bands: Bands) -> DataFrame:
 def _meetings(signed: DataFrame) -> DataFrame:
     """Edges (a, b) from every node to one node with which it shares a signature."""
 
+    def edges(pairs: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+
+    def met(parts: list[bytes]) -> pa.RecordBatch:
+        signs, nodes = [], []
+        for raw in parts:
+            count = len(raw) // (SIGN_BYTES + 9)
+            low = np.zeros((count, 8), np.uint8)
+            low[:, :SIGN_BYTES] = np.frombuffer(raw, np.uint8, count * SIGN_BYTES).reshape(-1, SIGN_BYTES)
+            owners = np.cumsum(np.frombuffer(raw, "<i8", count, count * SIGN_BYTES))
+            tags = np.frombuffer(raw, np.uint8, count, count * (SIGN_BYTES + 8))
+            signs.append(low.view("<u8").ravel())
+            nodes.append(band_nodes(owners, tags))
+        signs, nodes = np.concatenate(signs), np.concatenate(nodes)
+        order = np.argsort(signs, kind="stable")
+        signs, nodes = signs[order], nodes[order]
+        new = np.append(True, signs[1:] != signs[:-1])
+        centers = nodes[new][np.cumsum(new) - 1]
+        pairs = np.stack([nodes, centers])[:, nodes != centers]
+        return edges(np.unique(pairs, axis=1))
+
     def stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sign, least = None, 0
+        bucket, parts = None, []
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            signs = batch["sign"].to_numpy()
-            nodes = band_nodes(batch["doc_id"].to_numpy(), batch["band"].to_numpy())
-            new = np.concatenate([[sign is None or signs[0] != sign], signs[1:] != signs[:-1]])
-            group = np.cumsum(new)
-            firsts = np.concatenate([[least], nodes[new]]).astype(np.int64)
-            centers = firsts[group]
-            sign, least = signs[-1], centers[-1]
-            pairs = np.stack([nodes, centers])[:, nodes != centers]
-            pairs = np.unique(pairs, axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
-
-    return signed.repartition("sign").sortWithinPartitions("sign").mapInArrow(stars, EDGES)
+            for key, known, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if known:
+                    yield edges(np.frombuffer(raw, "<i8").reshape(2, -1))
+                    continue
+                if key != bucket and parts:
+                    yield met(parts)
+                    parts = []
+                bucket = key
+                parts.append(raw)
+        if parts:
+            yield met(parts)
+
+    return signed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(stars, EDGES)
 
 
 def _blocks(classes: DataFrame, labels: DataFrame) -> DataFrame:
@@ -306,7 +360,10 @@ def jaccard_components(
     classes = stored(classes, "classes")
     # Only the first document of a class is signed, however many copies it has.
     firsts = rows.join(classes.select("doc_id").distinct(), "doc_id", "left_semi")
-    blocks = _blocks(classes, components(_meetings(_signed(firsts, words, bands))))
+    # One number comes to the driver; it bounds the buckets.
+    elements = classes.agg(F.sum("n")).first()[0] or 0
+    signed = _signed(firsts, words, bands, max(LEAST_BUCKETS, elements // BUCKET_ELEMENTS))
+    blocks = _blocks(classes, components(_meetings(signed)))
     links = components(_searched(rows, blocks, words, percent))
     joined = classes.join(links, F.col("doc_id") == F.col("node"), "left").select(
         F.col("h1").alias("c1"), F.col("h2").alias("c2"), F.coalesce("label", "doc_id").alias("component")

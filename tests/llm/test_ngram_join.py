@@ -1,11 +1,13 @@
 from __future__ import annotations
 
+import random
+
 import numpy as np
 import pytest
 
-from clickloom.llm.ngram_join import jaccard_components, link_forest
+from clickloom.llm.ngram_join import Bands, _packed, jaccard_components, link_forest
 
-from .samples import varied, words
+from .samples import sentences, varied, words
 
 
 def shingles(text, n):
@@ -36,9 +38,16 @@ def brute(rows, n, percent):
     return sorted((i, len(sets[i]), label[i]) for i in sets)
 
 
-@pytest.mark.parametrize(("n", "percent"), [(3, 90), (5, 80)])
+def stretched(seed):
+    """Texts and beginnings of them, so that linked sets differ in size."""
+    pick = random.Random(seed)
+    texts = [sentences(f"{seed}-{i}", 60, 5000) for i in range(6)]
+    return texts + [" ".join(t.split()[: pick.randrange(25, 60)]) for t in texts for _ in range(4)]
+
+
+@pytest.mark.parametrize(("n", "percent"), [(3, 90), (5, 80), (1, 66), (1, 60), (2, 50)])
 def test_components_equal_brute_force(spark, documents, n, percent):
-    texts = varied(n, 16)
+    texts = varied(n, 16) + stretched(percent)
     got = jaccard_components(documents(*texts), n, percent).collect()
     assert sorted(tuple(r) for r in got) == brute(list(enumerate(texts, 1)), n, percent)
 
@@ -74,3 +83,21 @@ def test_search_links_all_that_reach_the_overlap():
             both = len(np.intersect1d(sets[a], sets[b]))
             if 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both):
                 assert root(a) == root(b)
+
+
+@pytest.mark.parametrize("percent", [40, 50, 60, 66, 67, 80, 90, 99])
+def test_sizes_that_can_link_share_a_band(percent):
+    bands = Bands(percent)
+    for n in range(bands.least, 400):
+        own = {b for b, _ in bands.of(n)}
+        assert all(own & {b for b, _ in bands.of(m)} for m in range(n, 100 * n // percent + 1))
+
+
+def test_packed_signatures_keep_every_meeting():
+    pick = np.random.default_rng(2)
+    owners = np.repeat(np.arange(-3, 37, dtype=np.int64) * 10**15, 50)
+    bands = pick.integers(0, 3, len(owners))
+    signs = pick.integers(0, 2**63, 900).astype(np.uint64)[pick.integers(0, 900, len(owners))] << np.uint64(1)
+    batch = _packed(owners, bands, signs, 64).to_pydict()
+    sent = sum(len(d) for d, e in zip(batch["data"], batch["edges"], strict=True) if not e) // 15
+    assert sent == len(np.unique(signs)) and sorted(batch["bucket"][:-1]) == batch["bucket"][:-1]
