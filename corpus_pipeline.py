@@ -55,7 +55,7 @@ STAGES = [
     ("packing", packing_stage),
 ]
 
-# Tokenizing and keyed surrogates are beyond SQL; the pipeline is tested against a brute-force version.
+# Tokenizing and keyed surrogates are beyond SQL; the pipeline is tested on planted cases.
 ORACLE_SQL = None
 
 
