@@ -64,12 +64,26 @@ class FMIndex:
         self.before = np.concatenate([[0], np.cumsum(np.bincount(symbols, minlength=count))])
         self.matrix = WaveletMatrix(symbols[self.order - 1], count)
 
-    def search(self, patterns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The ranges (low, high) of sorted suffixes that start with each row of ``patterns``."""
-        last = patterns[:, -1]
-        low, high = self.before[last], self.before[last + 1]
+    def search(self, patterns: np.ndarray, settle: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """The ranges (low, high) of sorted suffixes that start with each row of ``patterns``.
+
+        Patterns that end alike are one state of the search until they part. With ``settle``, for patterns that the
+        texts hold, an end that occurs once ends its search: its range stands for the one place of the pattern, by the
+        suffix that starts there or later in it.
+        """
+        count = len(self.before) - 1
+        states, at = np.unique(patterns[:, -1], return_inverse=True)
+        low, high = self.before[states], self.before[states + 1]
         for k in range(patterns.shape[1] - 2, -1, -1):
             symbol = patterns[:, k]
-            low = self.before[symbol] + self.matrix.rank(symbol, low)
-            high = self.before[symbol] + self.matrix.rank(symbol, high)
-        return low, high
+            if settle:
+                # Symbol 0, which is in no pattern, stands for no step.
+                symbol = np.where((high - low == 1)[at], 0, symbol)
+            codes, at = np.unique(at * count + symbol, return_inverse=True)
+            symbol, old = codes % count, codes // count
+            low, high = low[old], high[old]
+            moved = np.flatnonzero(symbol) if settle else slice(None)
+            symbol = symbol[moved]
+            low[moved] = self.before[symbol] + self.matrix.rank(symbol, low[moved])
+            high[moved] = self.before[symbol] + self.matrix.rank(symbol, high[moved])
+        return low[at], high[at]

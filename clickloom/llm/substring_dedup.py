@@ -19,7 +19,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,27 +34,51 @@ ANCHOR = 5
 COMMON = 1000
 SHARD_WORDS = 1_000_000
 SEEN = 100_000
-SEGMENTS = "key long, content long, doc_id long, start int, words binary"
+PATTERNS = 1 << 18
+SEGMENT_PLACES = "key long, content long, doc_id long, start int"
+SEGMENT_WORDS = "key long, content long, doc_id long, words binary"
 
 
 def _texts(batch: pa.RecordBatch) -> list[bytes]:
     return batch["text"].cast(pa.binary()).to_pylist()
 
 
-def _hashed(texts: list[bytes]) -> Iterator[np.ndarray]:
-    for chunk in in_chunks(texts):
-        words, counts = word_hashes(chunk, lower=False)
-        yield from np.split(words, np.cumsum(counts)[:-1])
-
-
-def anchors(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The anchor's hash and its place for every window of a text."""
-    if len(words) < WINDOW:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    grams = gram_hashes(words, ANCHOR)
-    least = sliding_window_view(grams, WINDOW - ANCHOR + 1).argmin(axis=1)
-    place = least + np.arange(len(least))
-    return grams[place], place
+class Windows:
+    """All windows of some texts with the place and the hash of each one's anchor, in order."""
+
+    def __init__(self, texts: list[bytes]):
+        self.words, counts = word_hashes(texts, lower=False)
+        self.begin = np.cumsum(counts) - counts
+        count = max(0, len(self.words) - WINDOW + 1)
+        owner = np.repeat(np.arange(len(texts)), counts)
+        at = np.flatnonzero(owner[:count] == owner[len(owner) - count :])
+        grams = gram_hashes(self.words, ANCHOR)
+        least, place = grams[:count].copy(), np.arange(count)
+        for k in range(1, WINDOW - ANCHOR + 1):
+            less = grams[k : k + count] < least
+            least[less] = grams[k : k + count][less]
+            place[less] = np.flatnonzero(less) + k
+        self.at, self.place, self.anchor = at, place[at], least[at]
+        self.owner = owner[at]
+
+    def new(self) -> np.ndarray:
+        """Which windows have another anchor place than the window before."""
+        return np.append(True, self.place[1:] != self.place[:-1])[: len(self.place)]
+
+    def hashes(self, places: np.ndarray) -> np.ndarray:
+        """Hashes of the windows at ``places``."""
+        total = np.zeros(len(places), np.uint64)
+        for k in range(WINDOW):
+            total = mix(total + self.words[places + k] + np.uint64(k + 1))
+        return total
+
+
+def _cut_windows(batch: pa.RecordBatch) -> Iterator[tuple[int, list[bytes], Windows]]:
+    """(place of the first text in the batch, texts, windows) for chunks of a batch."""
+    done = 0
+    for chunk in in_chunks(_texts(batch)):
+        yield done, chunk, Windows(chunk)
+        done += len(chunk)
 
 
 def _shared(docs: DataFrame) -> DataFrame:
@@ -63,10 +86,15 @@ def _shared(docs: DataFrame) -> DataFrame:
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own = [np.unique(anchors(w)[0]).view(np.int64) for w in _hashed(_texts(batch))]
-            ids = np.repeat(batch["doc_id"].to_numpy(), [len(a) for a in own])
-            flat = np.concatenate(own) if own else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(flat)], names=["doc_id", "anchor"])
+            ids = batch["doc_id"].to_numpy()
+            for done, _, found in _cut_windows(batch):
+                new = found.new()
+                owner, anchor = found.owner[new], found.anchor[new]
+                order = np.lexsort((anchor, owner))
+                owner, anchor = owner[order], anchor[order]
+                first = np.append(True, (owner[1:] != owner[:-1]) | (anchor[1:] != anchor[:-1]))[: len(owner)]
+                columns = [pa.array(ids[done + owner[first]]), pa.array(anchor[first].view(np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "anchor"])
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held_docs = held = np.zeros(0, np.int64)
@@ -109,8 +137,11 @@ def _shared(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(pick, "doc_id long, anchor long, common boolean")
 
 
-def _segments(docs: DataFrame, shared: DataFrame) -> DataFrame:
-    """The segments of every document; ``words`` is null where the same task gave this content with no larger id."""
+def _segments(docs: DataFrame, shared: DataFrame, words: bool) -> DataFrame:
+    """Places (key, content, doc_id, start) of every segment of the documents, or with ``words`` its least document and words.
+
+    With ``words`` a content that the same task gave with no larger id is left out.
+    """
     lists = shared.groupBy("doc_id").agg(F.collect_list(F.struct("anchor", "common")).alias("shared"))
     rows = docs.join(lists, "doc_id").select(
         "doc_id", "text", F.col("shared.anchor").alias("anchors"), F.col("shared.common").alias("common")
@@ -118,45 +149,50 @@ def _segments(docs: DataFrame, shared: DataFrame) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[tuple[int, int], int] = {}
-        for batch in batches:
-            out: tuple[list, ...] = ([], [], [], [], [])
-            texts, common = _texts(batch), batch["common"].to_pylist()
-            columns = zip(batch["doc_id"].to_pylist(), texts, batch["anchors"], common, _hashed(texts), strict=True)
-            for doc, text, listed, flags, hashes in columns:
-                found, place = anchors(hashes)
-                known = np.array(listed.as_py(), np.int64).view(np.uint64)
-                often = known[np.array(flags, bool)]
-                wanted = np.isin(found, known)
-                split = np.isin(found, often)
-                if not wanted.any():
+
+        def unseen(texts: list[bytes], windows: Windows, columns: Iterator[tuple]) -> Iterator[tuple]:
+            split_text, split = -1, []
+            for key, content, doc, owner, a, b in columns:
+                best = seen.get((key, content))
+                if best is not None and best <= doc:
                     continue
-                new = np.concatenate([[True], place[1:] != place[:-1]])
-                starts = np.flatnonzero(wanted & (new | split))
-                stops = np.flatnonzero(wanted & np.concatenate([new[1:] | split[1:], [True]]))
-                windows = gram_hashes(hashes, WINDOW)
-                keys = np.where(split[starts], windows[starts], found[starts])
-                # A segment's windows share a word, so its first and its last one tell all its words.
-                contents = mix(windows[starts] + (stops - starts).astype(np.uint64)) ^ windows[stops]
-                words = text.split()
-                places = (keys.view(np.int64), contents.view(np.int64), starts, stops)
-                for key, content, a, b in zip(*(x.tolist() for x in places), strict=True):
-                    best = seen.get((key, content))
-                    if best is None or doc < best:
-                        if len(seen) >= SEEN:
-                            seen.clear()
-                        seen[key, content] = doc
-                        raw = b" ".join(words[a : b + WINDOW])
-                    else:
-                        raw = None
-                    for column, value in zip(out, (key, content, doc, a, raw), strict=True):
-                        column.append(value)
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(out, kinds, strict=True)],
-                names=[f.split()[0] for f in SEGMENTS.split(", ")],
-            )
+                if len(seen) >= SEEN:
+                    seen.clear()
+                seen[key, content] = doc
+                if owner != split_text:
+                    split_text, split, begin = owner, texts[owner].split(), int(windows.begin[owner])
+                yield key, content, doc, b" ".join(split[a - begin : b - begin + WINDOW])
 
-    return rows.mapInArrow(cut, SEGMENTS)
+        for batch in batches:
+            ids = batch["doc_id"].to_numpy()
+            # An anchor of any document of the batch is in the lists of all documents that have it.
+            listed = batch["anchors"].flatten().to_numpy()
+            often = batch["common"].flatten().to_numpy(zero_copy_only=False).astype(bool)
+            known, often = np.unique(listed).view(np.uint64), np.unique(listed[often]).view(np.uint64)
+            for done, texts, found in _cut_windows(batch):
+                wanted = np.isin(found.anchor, known)
+                split = np.isin(found.anchor, often)
+                new = found.new()
+                after = np.append(new[1:] | split[1:], True)[: len(new)]
+                first, last = np.flatnonzero(wanted & (new | split)), np.flatnonzero(wanted & after)
+                starts, stops, owner = found.at[first], found.at[last], found.owner[first]
+                head, tail = found.hashes(starts), found.hashes(stops)
+                # A segment's windows share a word, so its first and its last one tell all its words.
+                contents = (mix(head + (stops - starts).astype(np.uint64)) ^ tail).view(np.int64)
+                keys = np.where(split[first], head, found.anchor[first]).view(np.int64)
+                docs_ = ids[done + owner]
+                if words:
+                    places = (keys, contents, docs_, owner, starts, stops)
+                    out = list(unseen(texts, found, zip(*(x.tolist() for x in places), strict=True)))
+                    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+                    columns = [pa.array([row[i] for row in out], kind) for i, kind in enumerate(kinds)]
+                    yield pa.RecordBatch.from_arrays(columns, names=["key", "content", "doc_id", "words"])
+                else:
+                    begins = (starts - found.begin[owner]).astype(np.int32)
+                    columns = [pa.array(x) for x in (keys, contents, docs_, begins)]
+                    yield pa.RecordBatch.from_arrays(columns, names=["key", "content", "doc_id", "start"])
+
+    return rows.mapInArrow(cut, SEGMENT_WORDS if words else SEGMENT_PLACES)
 
 
 def first_documents(segments: list[bytes], docs: list[int]) -> list[np.ndarray]:
@@ -173,9 +209,9 @@ def first_documents(segments: list[bytes], docs: list[int]) -> list[np.ndarray]:
     index = FMIndex(symbols, WINDOW)
     low = np.empty(len(at), np.int64)
     high = np.empty(len(at), np.int64)
-    for i in range(0, len(at), 1 << 16):
-        part = slice(i, i + (1 << 16))
-        low[part], high[part] = index.search(symbols[at[part][:, None] + np.arange(WINDOW)])
+    for i in range(0, len(at), PATTERNS):
+        part = slice(i, i + PATTERNS)
+        low[part], high[part] = index.search(symbols[at[part][:, None] + np.arange(WINDOW)], settle=True)
     owner = np.repeat(np.array(docs, np.int64), lengths + 1)[index.order]
     # Ranges of equal windows are equal and others do not meet, so each range is scanned once.
     lows, which = np.unique(low, return_inverse=True)
@@ -223,8 +259,7 @@ def _firsts(segments: DataFrame) -> DataFrame:
                     held[key, content] = words, doc
         yield found()
 
-    rows = segments.where("words is not null").select("key", "content", "doc_id", "words").repartition("key")
-    return rows.sortWithinPartitions("key").mapInArrow(search, "key long, content long, firsts array<long>")
+    return segments.repartition("key").sortWithinPartitions("key").mapInArrow(search, "key long, content long, firsts array<long>")
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -238,14 +273,16 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     )
     named = rows.where("doc_id is not null")
     shared = stored(_shared(named), "anchors")
-    segments = _segments(named, shared)
-    firsts = _firsts(segments)
-    placed = segments.select("key", "content", "doc_id", "start").join(firsts, ["key", "content"])
+    firsts = _firsts(_segments(named, shared, words=True))
+    placed = _segments(named, shared, words=False).join(firsts, ["key", "content"])
     gone = F.transform("firsts", lambda x, i: F.when(x < F.col("doc_id"), F.col("start") + i.cast("int")))
     gone = F.filter(gone, lambda x: x.isNotNull())
     removed = placed.select("doc_id", gone.alias("gone")).where(F.size("gone") > 0)
     removed = removed.groupBy("doc_id").agg(F.flatten(F.collect_list("gone")).alias("gone"))
-    joined = rows.join(removed, "doc_id", "left").select("doc_id", "text", "gone")
+    # The same exchange of the texts as that of the segments, which Spark makes once; rows without id need none.
+    joined = named.join(removed, "doc_id", "left").select("doc_id", "text", "gone")
+    nameless = rows.where("doc_id is null").select("doc_id", "text", F.lit(None).cast("array<int>").alias("gone"))
+    joined = joined.union(nameless)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -2,6 +2,9 @@ from __future__ import annotations
 
 import hashlib
 
+import numpy as np
+
+from clickloom.llm.fm_index import FMIndex
 from clickloom.llm.substring_dedup import remove_repeats
 
 from .samples import sentences, varied, words
@@ -46,3 +49,33 @@ def test_empty_table(spark, documents):
 def test_extra_columns_may_clash(spark):
     rows = spark.createDataFrame([(1, "a b", 7)], "doc_id long, text string, n_words long")
     assert result(rows) == brute([(1, "a b")])
+
+
+def test_passage_of_very_many_documents(spark, documents):
+    passage = sentences("hot", 25)
+    texts = [f"{sentences(i, 4)} {passage} {sentences(-i, 15)}" for i in range(1100)]
+    assert result(documents(*texts)) == brute(list(enumerate(texts, 1)))
+
+
+def test_missing_and_repeated_ids(spark, documents):
+    shared = sentences("ids", 20)
+    rows = [(3, shared), (3, f"x {shared}"), (None, shared), (None, shared), (4, f"{shared} y"), (4, f"{shared} y")]
+    got = remove_repeats(documents(*[(i, t, "a") for i, t in rows])).select("doc_id", "n_words", "n_removed").collect()
+    expected = [(3, 20, 0), (3, 21, 0), (None, 20, 0), (None, 20, 0), (4, 21, 20), (4, 21, 20)]
+    assert sorted(map(tuple, got), key=str) == sorted(expected, key=str)
+
+
+def test_search_ranges():
+    rng = np.random.default_rng(5)
+    texts = [rng.integers(1, 6, 40) for _ in range(8)]
+    symbols = np.concatenate([np.append(t, 0) for t in texts])
+    index = FMIndex(symbols, 6)
+    patterns = np.stack([t[i : i + 6] for t in texts for i in range(35)])
+    plain = {i: tuple(p) for i, p in enumerate(patterns)}
+    for settle in (False, True):
+        low, high = index.search(patterns, settle)
+        for i, own in plain.items():
+            places = sorted(index.order[low[i] : high[i]].tolist())
+            whole = [j for j in range(len(symbols) - 5) if tuple(symbols[j : j + 6]) == own]
+            # A settled search may name the one place by a later suffix of the pattern.
+            assert places == whole or (settle and len(places) == len(whole) == 1 and 0 < places[0] - whole[0] < 6)
