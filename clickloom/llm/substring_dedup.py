@@ -76,7 +76,10 @@ class Windows:
 def _cut_windows(batch: pa.RecordBatch) -> Iterator[tuple[int, list[bytes], Windows]]:
     """(place of the first text in the batch, texts, windows) for chunks of a batch."""
     done = 0
-    for chunk in in_chunks(_texts(batch)):
+    texts = _texts(batch)
+    if "nameless" in batch.schema.names:
+        texts = [b"" if skip else text for skip, text in zip(batch["nameless"].to_pylist(), texts, strict=True)]
+    for chunk in in_chunks(texts):
         yield done, chunk, Windows(chunk)
         done += len(chunk)
 
@@ -144,7 +147,7 @@ def _segments(docs: DataFrame, shared: DataFrame, words: bool) -> DataFrame:
     """
     lists = shared.groupBy("doc_id").agg(F.collect_list(F.struct("anchor", "common")).alias("shared"))
     rows = docs.join(lists, "doc_id").select(
-        "doc_id", "text", F.col("shared.anchor").alias("anchors"), F.col("shared.common").alias("common")
+        "doc_id", "nameless", "text", F.col("shared.anchor").alias("anchors"), F.col("shared.common").alias("common")
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -268,36 +271,36 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     A word goes if a window over it also starts in a document of a smaller id.
     """
     ship_package(docs.sparkSession)
+    # A row without id goes by a hash of its text, apart from the documents of that id. So all joins with the texts
+    # take the same rows, and Spark makes one exchange of them for all.
+    own, body = F.col(doc_id).cast("long"), F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(
-        F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")
+        F.coalesce(own, F.xxhash64(body)).alias("doc_id"), own.isNull().alias("nameless"), body.alias("text")
     )
-    named = rows.where("doc_id is not null")
-    shared = stored(_shared(named), "anchors")
-    firsts = _firsts(_segments(named, shared, words=True))
-    placed = _segments(named, shared, words=False).join(firsts, ["key", "content"])
+    shared = stored(_shared(rows.where("not nameless").select("doc_id", "text")), "anchors")
+    firsts = _firsts(_segments(rows, shared, words=True))
+    placed = _segments(rows, shared, words=False).join(firsts, ["key", "content"])
     gone = F.transform("firsts", lambda x, i: F.when(x < F.col("doc_id"), F.col("start") + i.cast("int")))
     gone = F.filter(gone, lambda x: x.isNotNull())
     removed = placed.select("doc_id", gone.alias("gone")).where(F.size("gone") > 0)
     removed = removed.groupBy("doc_id").agg(F.flatten(F.collect_list("gone")).alias("gone"))
-    # The same exchange of the texts as that of the segments, which Spark makes once; rows without id need none.
-    joined = named.join(removed, "doc_id", "left").select("doc_id", "text", "gone")
-    nameless = rows.where("doc_id is null").select("doc_id", "text", F.lit(None).cast("array<int>").alias("gone"))
-    joined = joined.union(nameless)
+    joined = rows.join(removed, "doc_id", "left").select("doc_id", "nameless", "text", "gone")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: tuple[list, ...] = ([], [], [], [], [])
-            for doc, raw, gone in zip(batch["doc_id"].to_pylist(), _texts(batch), batch["gone"].to_pylist(), strict=True):
+            ids, nameless = batch["doc_id"].to_pylist(), batch["nameless"].to_pylist()
+            for doc, skip, raw, gone in zip(ids, nameless, _texts(batch), batch["gone"].to_pylist(), strict=True):
                 words = raw.split()
                 kept = words
-                if gone:
+                if gone and not skip:
                     steps = np.zeros(len(words) + 1, np.int64)
                     places = np.unique(gone)
                     np.add.at(steps, places, 1)
                     np.add.at(steps, places + WINDOW, -1)
                     kept = [words[i] for i in np.flatnonzero(np.cumsum(steps[:-1]) == 0)]
                 body = b" ".join(kept)
-                values = (doc, len(words), len(words) - len(kept), hashlib.sha256(body).hexdigest(), body)
+                values = (None if skip else doc, len(words), len(words) - len(kept), hashlib.sha256(body).hexdigest(), body)
                 for column, value in zip(out, values, strict=True):
                     column.append(value)
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
