@@ -1,13 +1,15 @@
 """Main text of web pages by a site style tree.
 
-The pages of a host are merged into one tree: a node is a path of tags with their classes, and holds how often each layout
-(the tags of its children) and each content was seen there. A node's importance is the entropy of both; a branch that looks
-and reads alike on many pages is furniture. Each page then loses its branches of low importance and those whose
-role says so (menus, forms, adverts, reader comments), and the blocks that are left are its text.
+The pages of a host are merged into one tree from their roots: a node is a path of tags with their classes, and holds how
+often each layout (the tags of its children) and each content was seen there. A node's importance is the entropy of both,
+nearer to 1 the fewer pages speak against it; a branch that looks and reads alike on many pages is furniture. Each page then
+loses its branches of low importance and those whose role says so (menus, forms, adverts, reader comments, which may differ
+on every page), and the blocks that are left are its text.
 
 Defined cases: a null or empty page has an empty text; a page without host is a host of its own kind; markup that is broken,
-unclosed or nested wrongly is closed where its parent ends; repeated rows give repeated results; an empty table gives an empty
-table; other columns are not read, whatever their names.
+unclosed or nested wrongly is closed where its parent ends; a tag that the page's end cuts off is dropped; pages of a host with
+one main text count once, so copies of an article don't make it furniture; a page that would lose all its text to the tree keeps it;
+repeated rows give repeated results; an empty table gives an empty table; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -24,8 +26,7 @@ from pyspark.sql import functions as F
 from clickloom.llm.shipping import ship_package
 from clickloom.llm.tables import stored
 
-#: A branch needs this many pages before its importance counts, and falls below this importance to go.
-LEAST_PAGES = 10
+#: A branch below this importance goes.
 LEAST_IMPORTANCE = 0.2
 LAYOUT_SHARE = 0.1
 
@@ -59,25 +60,32 @@ CLOSED_BY = {
 }
 SCOPES = frozenset("ul ol dl table body article section div main td th".split())
 CONTAINERS = frozenset("div section ul ol dl table header figure details fieldset center blockquote hgroup".split())
-_TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*+)>", re.DOTALL
-)
-_ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.IGNORECASE)
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*+")
+# One attribute; a quote that never closes is part of a plain value.
+_ATTRIBUTE = re.compile(r"""[\s/]*+(?:([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>]*+)))?+)?+""")
+_COUNTER = re.compile(r"[-_:]\d+$")
+ATTRIBUTES = frozenset("class id role hidden aria-hidden style".split())
+
 
 
 class Node:
     """An element with its children in order: nodes, and texts as strings."""
 
-    __slots__ = ("tag", "attributes", "children")
+    __slots__ = ("tag", "attributes", "children", "_label", "size", "linked", "links")
 
     def __init__(self, tag: str, attributes: dict[str, str]):
         self.tag, self.attributes, self.children = tag, attributes, []
+        self._label: str | None = None
+        # Characters of text, those of them in links, and the number of links below.
+        self.size = self.linked = self.links = 0
 
     @property
     def label(self) -> str:
-        """The tag with its classes and id, digits aside, which are often counters."""
-        names = sorted(self.attributes.get("class", "").split()) + ["#" + self.attributes.get("id", "")]
-        return self.tag + "." + re.sub(r"\d+", "", ".".join(names))
+        """The tag with its classes and id, numbers at their ends aside, which are often counters."""
+        if self._label is None:
+            names = sorted(self.attributes.get("class", "").split()) + ["#" + self.attributes.get("id", "")]
+            self._label = self.tag + "." + ".".join(_COUNTER.sub("", n) for n in names)
+        return self._label
 
     def text(self) -> str:
         return "".join(c if isinstance(c, str) else c.text() if c.tag not in HIDDEN else "" for c in self.children)
@@ -86,23 +94,60 @@ class Node:
 MAX_DEPTH = 200
 
 
+def read_tag(page: str, at: int) -> tuple[dict[str, str], bool, int]:
+    """Attributes, whether the tag closes itself, and its end; ``at`` is after the tag's name."""
+    found: dict[str, str] = {}
+    while at < len(page) and page[at] != ">":
+        hit = _ATTRIBUTE.match(page, at)
+        if hit[1] and (name := hit[1].lower()) in ATTRIBUTES and name not in found:
+            found[name] = entities.unescape(hit[2] or hit[3] or hit[4] or "")
+        at = hit.end()
+    return found, page[at - 1 : at] == "/", at + 1
+
+
+def tokens(page: str) -> Iterator[tuple[str, str, dict[str, str], bool]]:
+    """(kind, name or text, attributes, closed) of texts, starts and ends, in one pass over the page."""
+    begin = at = 0
+    while (at := page.find("<", at)) >= 0:
+        end = page[at + 1 : at + 2] == "/"
+        name = _NAME.match(page, at + 1 + end)
+        if name:
+            if begin < at:
+                yield "text", page[begin:at], {}, False
+            tag = name[0].lower()
+            attributes, closed, begin = read_tag(page, name.end())
+            if begin <= len(page):
+                yield "end" if end else "start", tag, attributes, closed
+            if tag in RAW and not end:
+                close = re.compile(rf"</{tag}(?![^\s/>])", re.IGNORECASE).search(page, begin)
+                begin = page.find(">", close.end()) + 1 if close else 0
+                begin = begin or len(page)
+            at = begin
+        elif page.startswith("<!--", at):
+            if begin < at:
+                yield "text", page[begin:at], {}, False
+            stop = page.find("-->", at + 4)
+            at = begin = stop + 3 if stop >= 0 else len(page)
+        elif end or page[at + 1 : at + 2] in ("!", "?"):
+            if begin < at:
+                yield "text", page[begin:at], {}, False
+            stop = page.find(">", at)
+            at = begin = stop + 1 if stop >= 0 else len(page)
+        else:
+            at += 1
+    if begin < len(page):
+        yield "text", page[begin:], {}, False
+
+
 def parse(page: str) -> Node:
     """The element tree of a page; what is nested deeper than ``MAX_DEPTH`` becomes a sibling at that depth."""
     root = Node("html", {})
     stack = [root]
-    at = 0
-
-    def text(raw: str) -> None:
-        if raw:
-            stack[-1].children.append(entities.unescape(raw))
-
-    while hit := _TAG.search(page, at):
-        text(page[at : hit.start()])
-        at = hit.end()
-        name = (hit[2] or "").lower()
-        if not name:
+    for kind, name, attributes, closed in tokens(page):
+        if kind == "text":
+            stack[-1].children.append(entities.unescape(name))
             continue
-        if hit[1]:
+        if kind == "end":
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag == name:
                     del stack[i:]
@@ -118,15 +163,21 @@ def parse(page: str) -> Node:
                 del stack[i:]
             elif stack[i].tag in SCOPES and not (closes and stack[i].tag in closes):
                 break
-        found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(hit[3])} if hit[3] else {}
-        node = Node(name, found)
+        node = Node(name, attributes)
         stack[-1].children.append(node)
-        if name in RAW:
-            end = re.compile(rf"</{name}\b[^>]*>", re.IGNORECASE).search(page, at)
-            at = end.end() if end else len(page)
-        elif name not in VOID and not hit[3].rstrip().endswith("/") and len(stack) < MAX_DEPTH:
+        if name not in RAW and name not in VOID and not closed and len(stack) < MAX_DEPTH:
             stack.append(node)
-    text(page[at:])
+    made = [root]
+    for node in made:
+        made.extend(c for c in node.children if not isinstance(c, str))
+    for node in reversed(made):
+        for c in node.children:
+            if isinstance(c, str):
+                node.size += len(c.strip())
+            else:
+                node.size += c.size
+                node.linked += c.size if c.tag == "a" else c.linked
+                node.links += c.links + (c.tag == "a")
     return root
 
 
@@ -147,57 +198,51 @@ def has_noise_role(node: Node, inside: bool) -> bool:
     return bool(NAMES_OUT.search(names))
 
 
-def _main(node: Node) -> list[Node]:
-    """The outermost main or article elements that are not furniture themselves, or else the whole page."""
+def _main(node: Node) -> list[tuple[Node, str]]:
+    """The outermost main or article elements that are not furniture themselves, or else the whole page, with their parents' paths."""
     for wanted in ("main", "article"):
-        found: list[Node] = []
-        waiting = [node]
+        found: list[tuple[Node, str]] = []
+        waiting = [(node, "")]
         while waiting:
-            here = waiting.pop()
+            here, path = waiting.pop()
             if here.tag == wanted or (wanted == "main" and here.attributes.get("role", "").lower() == "main"):
-                found.append(here)
+                found.append((here, path))
                 continue
+            path = f"{path}>{here.label}"
             waiting.extend(
-                c for c in reversed(here.children) if not isinstance(c, str) and not has_noise_role(c, False)
+                (c, path) for c in reversed(here.children) if not isinstance(c, str) and not has_noise_role(c, False)
             )
-        if found and any(n.text().strip() for n in found):
+        if found and any(n.text().strip() for n, _ in found):
             return found
-    return [node]
+    return [(node, "")]
 
 
 def _is_menu(node: Node) -> bool:
     """Whether a list or division is mostly links."""
-    links = total = count = 0
-    waiting = [(node, False)]
-    while waiting:
-        here, linked = waiting.pop()
-        for c in here.children:
-            if isinstance(c, str):
-                size = len(c.strip())
-                total, links = total + size, links + size * linked
-            else:
-                count += c.tag == "a"
-                waiting.append((c, linked or c.tag == "a"))
-    return count >= 3 and links >= 0.8 * total
+    return node.links >= 3 and node.linked >= 0.8 * node.size
 
 
-def branches(page: str) -> Iterator[tuple[str, str, str]]:
-    """(path, layout, content) of the containers in the part of a page that can hold its text."""
-    for top in _main(parse(page)):
-        waiting = [(top, "")]
-        while waiting:
-            node, path = waiting.pop()
-            path = f"{path}>{node.label}"
-            for c in node.children:
-                if not isinstance(c, str) and not has_noise_role(c, top.tag != "html"):
-                    waiting.append((c, path))
-            if node is not top and node.tag in CONTAINERS:
-                layout = " ".join(c.label for c in node.children if not isinstance(c, str))
-                yield path, layout, " ".join(node.text().split())
+def branches(page: str) -> Iterator[tuple[str, str, str, str]]:
+    """(main text, path, layout, content) of all containers of a page, from its root."""
+    root = parse(page)
+    main = " ".join(" ".join(top.text() for top, _ in _main(root)).split())
+    waiting = [(root, "")]
+    while waiting:
+        node, path = waiting.pop()
+        path = f"{path}>{node.label}"
+        inner = [c for c in node.children if not isinstance(c, str) and c.tag not in HIDDEN]
+        waiting.extend((c, path) for c in inner)
+        if node.tag in CONTAINERS:
+            yield main, path, " ".join(c.label for c in inner), " ".join(node.text().split())
 
 
 def main_text(page: str, low: frozenset[str]) -> str:
-    """The text blocks of a page without the branches whose paths are in ``low``."""
+    """The text blocks of a page without the branches whose paths are in ``low``, or with them if nothing else is left."""
+    root = parse(page)
+    return _blocks(root, low) or (_blocks(root, frozenset()) if low else "")
+
+
+def _blocks(root: Node, low: frozenset[str]) -> str:
     blocks: list[str] = []
     part: list[str] = []
 
@@ -229,8 +274,8 @@ def main_text(page: str, low: frozenset[str]) -> str:
             else:
                 walk(c, path, inside)
 
-    for top in _main(parse(page)):
-        walk(top, "", top.tag != "html")
+    for top, path in _main(root):
+        walk(top, path, top.tag != "html")
         close()
     return "\n".join(blocks)
 
@@ -252,26 +297,28 @@ def low_branches(pages: DataFrame) -> DataFrame:
 
         digest = xxhash.xxh64_intdigest
         for batch in batches:
-            out: tuple[list, ...] = ([], [], [], [])
+            out: tuple[list, ...] = ([], [], [], [], [])
             for host, page in zip(batch["host"].to_pylist(), batch["html"].to_pylist(), strict=True):
-                for path, layout, content in branches(page):
+                for main, path, layout, content in branches(page):
                     out[0].append(host)
                     out[1].append(path)
-                    out[2].append(digest(layout.encode("utf-8", "replace")))
-                    out[3].append(digest(content.encode("utf-8", "replace")))
+                    for column, value in zip(out[2:], (main, layout, content), strict=True):
+                        column.append(digest(value.encode("utf-8", "replace")))
             numbers = [pa.array(np.array(c, np.uint64).view(np.int64)) for c in out[2:]]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(out[0], pa.string()), pa.array(out[1], pa.string()), *numbers],
-                names=["host", "path", "layout", "content"],
+                names=["host", "path", "main", "layout", "content"],
             )
 
-    nodes = stored(pages.mapInArrow(cut, "host string, path string, layout long, content long"), "branches")
+    nodes = pages.mapInArrow(cut, "host string, path string, main long, layout long, content long")
+    # Pages with one main text speak once.
+    nodes = stored(nodes.distinct().drop("main"), "branches")
     layouts = _entropy(nodes.groupBy("host", "path", "layout").count(), "by_layout")
     contents = _entropy(nodes.groupBy("host", "path", "content").count(), "by_content")
     importance = LAYOUT_SHARE * F.col("by_layout") + (1 - LAYOUT_SHARE) * F.col("by_content")
-    low = layouts.join(contents.drop("pages"), ["host", "path"]).where(
-        (F.col("pages") >= LEAST_PAGES) & (importance < LEAST_IMPORTANCE)
-    )
+    # What one page shows proves nothing; every further one counts against a branch that does not change.
+    importance = 1 - (1 - importance) * (1 - 1 / F.col("pages"))
+    low = layouts.join(contents.drop("pages"), ["host", "path"]).where(importance < LEAST_IMPORTANCE)
     # A host has as many of these as its templates have branches. Written, so that its size tells how to join it.
     return stored(low.groupBy("host").agg(F.collect_set("path").alias("low")), "low-branches")
 
