@@ -298,12 +298,12 @@ def _meetings(signed: DataFrame) -> DataFrame:
     return signed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(stars, EDGES)
 
 
-def _blocks(classes: DataFrame, labels: DataFrame) -> DataFrame:
+def _blocks(classes: DataFrame, labels: DataFrame, block_elements: int) -> DataFrame:
     """(doc_id, units): the searches that the first document of each class takes part in."""
     nodes = classes.select("doc_id", "n", F.explode("nodes").alias("node"))
     grouped = nodes.join(labels, "node").select("doc_id", "n", "label")
     sizes = grouped.groupBy("label").agg(F.sum("n").alias("elements"), F.count(F.lit(1)).alias("members"))
-    blocks = F.ceil(F.col("elements") / BLOCK_ELEMENTS)
+    blocks = F.ceil(F.col("elements") / block_elements)
     own = F.pmod(F.xxhash64("doc_id"), F.col("blocks"))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     placed = grouped.join(sizes.where("members > 1").select("label", blocks.alias("blocks")), "label")
@@ -342,12 +342,18 @@ def _searched(docs: DataFrame, blocks: DataFrame, n: int, percent: int) -> DataF
 
 
 def jaccard_components(
-    docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text"
+    docs: DataFrame,
+    words: int = 5,
+    percent: int = 80,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    block_elements: int = BLOCK_ELEMENTS,
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs``.
 
     Two documents link when 100 * intersection >= ``percent`` * union of their sets of ``words``-grams; the component
-    is the smallest id reachable by links.
+    is the smallest id reachable by links. A group of more than ``block_elements`` shingles is searched in blocks of about
+    that many, every two of them in one task: larger blocks take more memory there, and send a text to fewer searches.
     """
     ship_package(docs.sparkSession)
     rows = docs.select(
@@ -363,7 +369,7 @@ def jaccard_components(
     # One number comes to the driver; it bounds the buckets.
     elements = classes.agg(F.sum("n")).first()[0] or 0
     signed = _signed(firsts, words, bands, max(LEAST_BUCKETS, elements // BUCKET_ELEMENTS))
-    blocks = _blocks(classes, components(_meetings(signed)))
+    blocks = _blocks(classes, components(_meetings(signed)), block_elements)
     links = components(_searched(rows, blocks, words, percent))
     joined = classes.join(links, F.col("doc_id") == F.col("node"), "left").select(
         F.col("h1").alias("c1"), F.col("h2").alias("c2"), F.coalesce("label", "doc_id").alias("component")
