@@ -24,11 +24,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the smallest id, of each group linked by 0.8 of their 5-word shingles.
 
-    Documents without a word are linked with nothing and stay.
+    Documents without a word and rows without id are linked with nothing and stay; rows with equal ids are one document.
     """
-    groups = ngram_join.jaccard_components(docs, words=5, percent=80)
-    kept = groups.where(F.col("component_id") == F.col("doc_id")).select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").select(*COLUMNS)
+    groups = ngram_join.jaccard_components(docs, words=5, percent=80, block_elements=1_200_000)
+    gone = groups.where(F.col("component_id") < F.col("doc_id")).select("doc_id")
+    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
