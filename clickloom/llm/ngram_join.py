@@ -1,12 +1,14 @@
 """N-gram Jaccard join by T-occurrence search.
 
 A document's set is its distinct word n-grams, hashed to 64 bits. Equal sets are one class from the start. Which classes must
-be searched together is found without loss: two sets that reach the bound differ in at most D elements, so of more
-than D hash ranges at least one holds the same elements in both; its signature is what they meet on. The groups that arise
-(of sets of about one size) are cut into blocks of bounded size, every pair of blocks is one search, and in it an inverted index is searched by
-T-occurrence with DivideSkip: the short lists of a query's elements are merged and counted, the long ones are only
-probed by binary search for what the merge left, and sets that reach the required overlap are linked. Elements a search
-has linked already are not compared again, so a group of copies costs a spanning tree and not all its pairs.
+be searched together is found without loss. A set of n elements links only with sets that hold at least T = ceil(bound * n) of
+them, so it must share T elements with others at all: counting that drops most sets. Of those left, two that link meet on one of
+the rarest (shared - T + 1) elements that each of them shares, in one order of all elements; passages that many texts
+quote come last in it and bring hardly any sets together. The groups that arise are cut into blocks of bounded size, every
+pair of blocks is one search, and in it an inverted index is searched by T-occurrence with DivideSkip: the short lists of a
+query's elements are merged and counted, the long ones are only probed by binary search for what the merge left, and sets
+that reach the required overlap are linked. Elements a search has linked already are not compared again, so a group of
+copies costs a spanning tree and not all its pairs.
 
 Defined cases: a text without words, or null, has an empty set and is linked with nothing; with fewer words than n the
 whole sequence is its one element; rows with equal ids are one node; rows without id are linked with nothing and
@@ -19,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.llm.components import EDGES, components
@@ -29,15 +31,17 @@ from clickloom.llm.tables import stored
 
 BATCH_BYTES = 2_000_000
 BLOCK_ELEMENTS = 400_000
-BAND_GROWTH = 1.5
-SIZED = "doc_id long, n long, h1 long, h2 long, nodes array<long>"
-SIGNED = "bucket int, edges boolean, data binary"
-SIGNED_ROWS = 200_000
-#: Bytes of a signature that travel; the bucket tells more of it. Sets that meet by chance are searched in vain.
-SIGN_BYTES = 6
-#: Elements whose signatures make up a bucket, and the least number of buckets.
+SIZED = "doc_id long, n long, h1 long, h2 long"
+SENT = "bucket int, counted boolean, data binary"
+#: Elements that a task packs at once; one that many documents there have is sent once.
+SENT_ELEMENTS = 1_000_000
+#: Bytes of an element that travel; the bucket tells more of it. Elements that meet by chance only leave a set in that could go.
+ELEMENT_BYTES = 4
+#: Elements that make up a bucket, and the least number of buckets.
 BUCKET_ELEMENTS = 2_000_000
 LEAST_BUCKETS = 64
+COUNTS = "doc_id long, shared long"
+ELEMENTS = "node long, least long, element long"
 
 
 def in_chunks(texts: list[bytes]) -> Iterator[list[bytes]]:
@@ -64,59 +68,13 @@ def shingle_sets(texts: list[bytes], n: int) -> Iterator[np.ndarray]:
             yield np.unique(gram_hashes(own, min(n, count))) if count else own
 
 
-class Bands:
-    """Ranges of set sizes, and for each the number of hash ranges that keeps every link."""
+def least_size(percent: int) -> int:
+    """Sets smaller than this link with equal sets only."""
+    return -(-percent // (100 - percent)) if percent < 100 else 1 << 62
 
-    def __init__(self, percent: int):
-        self.percent = percent
-        #: Sets smaller than this link with equal sets only.
-        self.least = -(-percent // (100 - percent)) if percent < 100 else 1 << 62
 
-    def differ(self, size: int) -> int:
-        """Most elements in which two linked sets of up to ``size`` elements differ."""
-        return 2 * size * (100 - self.percent) // (100 + self.percent)
-
-    def of(self, n: int) -> list[tuple[int, int]]:
-        """(band, its largest size) for all bands in which a set of ``n`` elements can have a partner."""
-        low, band = self.least, 0
-        while True:
-            high = max(int(low * BAND_GROWTH), low + 1)
-            if n <= high:
-                break
-            low, band = high + 1, band + 1
-        found = [(band, high)]
-        while 100 * n // self.percent > high:
-            low, band = high + 1, band + 1
-            high = max(int(low * BAND_GROWTH), low + 1)
-            found.append((band, high))
-        return found
-
-
-def band_nodes(docs: np.ndarray, bands: np.ndarray) -> np.ndarray:
-    """The graph node of a document in a band."""
-    return mix(mix(docs.astype(np.int64).view(np.uint64)) + bands.astype(np.uint64)).view(np.int64)
-
-
-def signatures(elements: np.ndarray, bands: Bands) -> list[tuple[int, np.ndarray]]:
-    """What a sorted set meets its possible partners on, for each of its bands."""
-    if len(elements) < bands.least:
-        return []
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(elements + np.uint64(1)))])
-    found = []
-    for band, size in bands.of(len(elements)):
-        differ = bands.differ(size)
-        ranges = differ + 1 + -(-(differ + 1) * (100 - bands.percent) // 300)
-        borders = (np.arange(1, ranges, dtype=np.uint64) << np.uint64(32)) // np.uint64(ranges) << np.uint64(32)
-        cuts = np.concatenate([[0], np.searchsorted(elements, borders), [len(elements)]])
-        filled = cuts[1:] > cuts[:-1]
-        tag = mix(np.arange(ranges, dtype=np.uint64) + np.uint64((band + 1) << 40))
-        own = mix((sums[cuts[1:]] - sums[cuts[:-1]]) ^ tag)[filled]
-        # With too few filled ranges the count proves nothing: such a set offers every element as well, and
-        # two of them meet on any they share.
-        if len(own) <= differ:
-            own = np.concatenate([own, mix(elements ^ np.uint64(band + 1))])
-        found.append((band, own))
-    return found
+def set_hash(s: np.ndarray) -> np.uint64:
+    return mix(s).sum(dtype=np.uint64)
 
 
 def link_forest(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
@@ -172,136 +130,165 @@ def link_forest(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     return links
 
 
-def _sized(docs: DataFrame, n: int, bands: Bands) -> DataFrame:
-    """Size, two hashes and the nodes of each document's set; equal hashes stand for equal sets."""
+def _sized(docs: DataFrame, n: int) -> DataFrame:
+    """Size and two hashes of each document's set; equal hashes stand for equal sets."""
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts, first, second, own = [], [], [], []
+            counts, first, second = [], [], []
             for s in shingle_sets(batch["text"].cast(pa.binary()).to_pylist(), n):
                 counts.append(len(s))
-                first.append(mix(s).sum(dtype=np.uint64))
-                second.append(mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64))
-                own.append([b for b, _ in bands.of(len(s))] if len(s) >= bands.least else [])
-            owners = batch["doc_id"].fill_null(0).to_numpy(zero_copy_only=False)
-            sizes = [len(x) for x in own]
-            flat = np.array([b for x in own for b in x], np.int64)
-            nodes = pa.array(band_nodes(np.repeat(owners, sizes), flat))
-            offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+                first.append(set_hash(s))
+                second.append(set_hash(s ^ np.uint64(0x5851F42D4C957F2D)))
             columns = [
                 batch["doc_id"],
                 pa.array(counts, pa.int64()),
                 pa.array(np.array(first, np.uint64).view(np.int64)),
                 pa.array(np.array(second, np.uint64).view(np.int64)),
-                pa.ListArray.from_arrays(offsets, nodes),
             ]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "h1", "h2", "nodes"])
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "h1", "h2"])
 
     return docs.mapInArrow(measure, SIZED)
 
 
-def _packed(owners: np.ndarray, bands: np.ndarray, signs: np.ndarray, buckets: int) -> pa.RecordBatch:
-    """``SIGNED`` rows of signatures: one row for each bucket, and one for the edges that these alone show.
+def _packed(owners: np.ndarray, elements: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """``SENT`` rows of (owner, element) pairs: one row for each bucket, and one of what is counted here already.
 
-    A signature that several nodes have here is sent once, with an edge from each other node to the one that is sent.
+    An element that several owners have here is shared: they are counted at once, and it is sent a single time, without
+    owner. A row holds the number of pairs, the pairs' elements and owners, and the elements without owner.
     """
-    order = np.argsort(signs, kind="stable")
-    owners, bands, signs = owners[order], bands[order], signs[order]
-    first = np.append(True, signs[1:] != signs[:-1])
-    nodes = band_nodes(owners, bands)
-    edges = np.stack([nodes, nodes[first][np.cumsum(first) - 1]])[:, ~first]
-    owners, bands, signs = owners[first], bands[first], signs[first]
-    bucket = ((signs >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+    order = np.argsort(elements, kind="stable")
+    owners, elements = owners[order], elements[order]
+    first = np.append(True, elements[1:] != elements[:-1])
+    alone = first & np.append(first[1:], True)
+    counted = owners[~alone]
+    known = ~alone[first]
+    owners, elements = owners[first], elements[first]
+    bucket = ((elements >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
     # Neighbouring ids differ by little, which compresses.
-    order = np.lexsort((owners, bucket))
-    owners, bands, signs, bucket = owners[order], bands[order], signs[order], bucket[order]
+    order = np.lexsort((owners, known, bucket))
+    owners, elements, known, bucket = owners[order], elements[order], known[order], bucket[order]
+    low = elements.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :ELEMENT_BYTES]
     starts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
     data = []
     for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(bucket)], strict=True):
-        low = signs[a:b].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :SIGN_BYTES]
-        steps = np.diff(owners[a:b], prepend=0).astype("<i8")
-        data.append(low.tobytes() + steps.tobytes() + bands[a:b].astype(np.uint8).tobytes())
+        pairs = a + int(np.count_nonzero(~known[a:b]))
+        steps = np.diff(owners[a:pairs], prepend=0).astype("<i8")
+        data.append(np.array([pairs - a], "<i8").tobytes() + low[a:pairs].tobytes() + steps.tobytes() + low[pairs:b].tobytes())
     keys = bucket[starts].tolist()
-    if edges.shape[1]:
-        keys.append(int(edges[0, 0] % buckets))
-        data.append(np.unique(edges, axis=1).astype("<i8").tobytes())
-    kinds = [False] * len(starts) + [True] * (len(keys) - len(starts))
+    kinds = [False] * len(keys)
+    if len(counted):
+        docs, counts = np.unique(counted, return_counts=True)
+        keys.append(int(docs[0] % buckets))
+        kinds.append(True)
+        data.append(np.stack([docs, counts]).astype("<i8").tobytes())
     columns = [pa.array(keys, pa.int32()), pa.array(kinds, pa.bool_()), pa.array(data, pa.binary())]
-    return pa.RecordBatch.from_arrays(columns, names=["bucket", "edges", "data"])
-
-
-def _signed(docs: DataFrame, n: int, bands: Bands, buckets: int) -> DataFrame:
-    """The signatures of all documents, packed by bucket: a row for each would take several times the room."""
+    return pa.RecordBatch.from_arrays(columns, names=["bucket", "counted", "data"])
+
+
+def _holders(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The owners in all rows of one bucket that share an element, and the number of elements each one shares."""
+    low, owners = [], []
+    for raw in parts:
+        pairs = int(np.frombuffer(raw, "<i8", 1)[0])
+        end = 8 + pairs * (ELEMENT_BYTES + 8)
+        rest = (len(raw) - end) // ELEMENT_BYTES
+        low.append(np.frombuffer(raw, "<u4", pairs, 8))
+        owners.append(np.cumsum(np.frombuffer(raw, "<i8", pairs, 8 + pairs * ELEMENT_BYTES)))
+        low.append(np.frombuffer(raw, "<u4", rest, end))
+        owners.append(np.zeros(rest, np.int64))
+    known = np.repeat(np.arange(len(low)) % 2 == 1, [len(x) for x in low])
+    low, owners = np.concatenate(low), np.concatenate(owners)
+    order = np.argsort(low, kind="stable")
+    low, owners, known = low[order], owners[order], known[order]
+    starts = np.flatnonzero(np.append(True, low[1:] != low[:-1]))
+    sizes = np.diff(np.append(starts, len(low)))
+    shared = np.repeat((sizes > 1) | np.logical_or.reduceat(known, starts), sizes)
+    return np.unique(owners[shared & ~known], return_counts=True)
+
+
+def _shared_counts(docs: DataFrame, n: int, percent: int, buckets: int) -> DataFrame:
+    """(doc_id, shared): of how many elements of a document's set another document has them too, never too few."""
+    least = least_size(percent)
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        owners, found, size = [], [], 0
+
+        def rows() -> pa.RecordBatch:
+            ids = np.repeat(np.array(owners, np.int64), [len(s) for s in found])
+            return _packed(ids, np.concatenate(found), buckets)
 
-    def rows(found: list[tuple[int, int, np.ndarray]]) -> pa.RecordBatch:
-        sizes = [len(x) for _, _, x in found]
-        owners = np.repeat(np.array([doc for doc, _, _ in found], np.int64), sizes)
-        tags = np.repeat(np.array([band for _, band, _ in found], np.int64), sizes)
-        return _packed(owners, tags, np.concatenate([x for _, _, x in found]), buckets)
-
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, size = [], 0
         for batch in batches:
             sets = shingle_sets(batch["text"].cast(pa.binary()).to_pylist(), n)
             for doc, s in zip(batch["doc_id"].to_pylist(), sets, strict=True):
-                for band, own in signatures(s, bands):
-                    found.append((doc, band, own))
-                    size += len(own)
-                if size >= SIGNED_ROWS:
-                    yield rows(found)
-                    found, size = [], 0
+                if len(s) < least:
+                    continue
+                owners.append(doc)
+                found.append(s)
+                size += len(s)
+                if size >= SENT_ELEMENTS:
+                    yield rows()
+                    owners, found, size = [], [], 0
         if found:
-            yield rows(found)
-
-    return docs.mapInArrow(sign, SIGNED)
-
-
-def _meetings(signed: DataFrame) -> DataFrame:
-    """Edges (a, b) from every node to one node with which it shares a signature."""
-
-    def edges(pairs: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
-
-    def met(parts: list[bytes]) -> pa.RecordBatch:
-        signs, nodes = [], []
-        for raw in parts:
-            count = len(raw) // (SIGN_BYTES + 9)
-            low = np.zeros((count, 8), np.uint8)
-            low[:, :SIGN_BYTES] = np.frombuffer(raw, np.uint8, count * SIGN_BYTES).reshape(-1, SIGN_BYTES)
-            owners = np.cumsum(np.frombuffer(raw, "<i8", count, count * SIGN_BYTES))
-            tags = np.frombuffer(raw, np.uint8, count, count * (SIGN_BYTES + 8))
-            signs.append(low.view("<u8").ravel())
-            nodes.append(band_nodes(owners, tags))
-        signs, nodes = np.concatenate(signs), np.concatenate(nodes)
-        order = np.argsort(signs, kind="stable")
-        signs, nodes = signs[order], nodes[order]
-        new = np.append(True, signs[1:] != signs[:-1])
-        centers = nodes[new][np.cumsum(new) - 1]
-        pairs = np.stack([nodes, centers])[:, nodes != centers]
-        return edges(np.unique(pairs, axis=1))
-
-    def stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            yield rows()
+
+    def counts(found: tuple[np.ndarray, np.ndarray]) -> pa.RecordBatch:
+        columns = [pa.array(found[0].astype(np.int64)), pa.array(found[1].astype(np.int64))]
+        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "shared"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, parts = None, []
         for batch in batches:
-            for key, known, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if known:
-                    yield edges(np.frombuffer(raw, "<i8").reshape(2, -1))
+            for key, counted, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if counted:
+                    yield counts(tuple(np.frombuffer(raw, "<i8").reshape(2, -1)))
                     continue
                 if key != bucket and parts:
-                    yield met(parts)
+                    yield counts(_holders(parts))
                     parts = []
                 bucket = key
                 parts.append(raw)
         if parts:
-            yield met(parts)
+            yield counts(_holders(parts))
+
+    sent = docs.mapInArrow(send, SENT)
+    found = sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(count, COUNTS)
+    return found.groupBy("doc_id").agg(F.sum("shared").alias("shared"))
+
+
+def _elements(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """(node, least, element) of all elements; ``least`` of them are in every set that links, the node is the set's hash."""
 
-    return signed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(stars, EDGES)
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for s in shingle_sets(batch["text"].cast(pa.binary()).to_pylist(), n):
+                node = np.full(len(s), set_hash(s), np.uint64).view(np.int64)
+                least = np.full(len(s), -(-percent * len(s) // 100), np.int64)
+                columns = [pa.array(node), pa.array(least), pa.array(s.view(np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, names=["node", "least", "element"])
+
+    return docs.mapInArrow(rows, ELEMENTS)
+
+
+def _meetings(elements: DataFrame) -> DataFrame:
+    """Edges (a, b) from the sets to those of their rarest shared elements on which any two that link meet."""
+    elements = stored(elements, "elements")
+    common = elements.groupBy("element").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1")
+    own = Window.partitionBy("node")
+    ranked = elements.join(common, "element").select(
+        "node",
+        "least",
+        "element",
+        F.row_number().over(own.orderBy("holders", "element")).alias("place"),
+        F.count(F.lit(1)).over(own).alias("shared"),
+    )
+    met = ranked.where("place <= shared - least + 1")
+    return met.select(F.col("node").alias("a"), F.xxhash64("element").alias("b"))
 
 
 def _blocks(classes: DataFrame, labels: DataFrame, block_elements: int) -> DataFrame:
     """(doc_id, units): the searches that the first document of each class takes part in."""
-    nodes = classes.select("doc_id", "n", F.explode("nodes").alias("node"))
-    grouped = nodes.join(labels, "node").select("doc_id", "n", "label")
+    grouped = classes.withColumn("node", F.col("h1")).join(labels, "node").select("doc_id", "n", "label")
     sizes = grouped.groupBy("label").agg(F.sum("n").alias("elements"), F.count(F.lit(1)).alias("members"))
     blocks = F.ceil(F.col("elements") / block_elements)
     own = F.pmod(F.xxhash64("doc_id"), F.col("blocks"))
@@ -359,17 +346,18 @@ def jaccard_components(
     rows = docs.select(
         F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")
     )
-    bands = Bands(percent)
-    sized = stored(_sized(rows, words, bands), "sets")
+    sized = stored(_sized(rows, words), "sets")
     known = sized.where("doc_id is not null and n > 0").groupBy("h1", "h2", "n")
-    classes = known.agg(F.min(F.struct("doc_id", "nodes")).alias("first")).select("h1", "h2", "n", "first.*")
-    classes = stored(classes, "classes")
-    # Only the first document of a class is signed, however many copies it has.
+    classes = stored(known.agg(F.min("doc_id").alias("doc_id")), "classes")
+    # Only the first document of a class is searched, however many copies it has.
     firsts = rows.join(classes.select("doc_id").distinct(), "doc_id", "left_semi")
     # One number comes to the driver; it bounds the buckets.
     elements = classes.agg(F.sum("n")).first()[0] or 0
-    signed = _signed(firsts, words, bands, max(LEAST_BUCKETS, elements // BUCKET_ELEMENTS))
-    blocks = _blocks(classes, components(_meetings(signed)), block_elements)
+    shared = _shared_counts(firsts, words, percent, max(LEAST_BUCKETS, elements // BUCKET_ELEMENTS))
+    enough = classes.join(shared, "doc_id").where(100 * F.col("shared") >= percent * F.col("n"))
+    alike = stored(enough.select("doc_id").distinct(), "alike")
+    meetings = _meetings(_elements(rows.join(alike, "doc_id", "left_semi"), words, percent))
+    blocks = _blocks(classes, components(meetings), block_elements)
     links = components(_searched(rows, blocks, words, percent))
     joined = classes.join(links, F.col("doc_id") == F.col("node"), "left").select(
         F.col("h1").alias("c1"), F.col("h2").alias("c2"), F.coalesce("label", "doc_id").alias("component")

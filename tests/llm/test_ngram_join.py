@@ -4,8 +4,18 @@ import random
 
 import numpy as np
 import pytest
-
-from clickloom.llm.ngram_join import Bands, _packed, jaccard_components, link_forest
+from pyspark.sql import functions as F
+
+from clickloom.llm.components import components
+from clickloom.llm.ngram_join import (
+    _elements,
+    _holders,
+    _meetings,
+    _packed,
+    _shared_counts,
+    jaccard_components,
+    link_forest,
+)
 
 from .samples import sentences, varied, words
 
@@ -85,19 +95,41 @@ def test_search_links_all_that_reach_the_overlap():
                 assert root(a) == root(b)
 
 
-@pytest.mark.parametrize("percent", [40, 50, 60, 66, 67, 80, 90, 99])
-def test_sizes_that_can_link_share_a_band(percent):
-    bands = Bands(percent)
-    for n in range(bands.least, 400):
-        own = {b for b, _ in bands.of(n)}
-        assert all(own & {b for b, _ in bands.of(m)} for m in range(n, 100 * n // percent + 1))
-
-
-def test_packed_signatures_keep_every_meeting():
+def test_shared_elements_are_counted_over_all_parts():
     pick = np.random.default_rng(2)
-    owners = np.repeat(np.arange(-3, 37, dtype=np.int64) * 10**15, 50)
-    bands = pick.integers(0, 3, len(owners))
-    signs = pick.integers(0, 2**63, 900).astype(np.uint64)[pick.integers(0, 900, len(owners))] << np.uint64(1)
-    batch = _packed(owners, bands, signs, 64).to_pydict()
-    sent = sum(len(d) for d, e in zip(batch["data"], batch["edges"], strict=True) if not e) // 15
-    assert sent == len(np.unique(signs)) and sorted(batch["bucket"][:-1]) == batch["bucket"][:-1]
+    owners = np.repeat(np.arange(-3, 57, dtype=np.int64) * 10**15, 50)
+    sets = [pick.choice(2500, 50, replace=False) for _ in range(60)]
+    values = pick.integers(0, 2**63, 2500).astype(np.uint64) << np.uint64(1)
+    elements = values[np.concatenate(sets)]
+    held = {}
+    for own, value in zip(owners.tolist(), elements.tolist(), strict=True):
+        held.setdefault(value, set()).add(own)
+    expected = {}
+    for own in held.values():
+        for o in own if len(own) > 1 else ():
+            expected[o] = expected.get(o, 0) + 1
+    got, buckets = {}, {}
+    for a in range(0, 3000, 1000):
+        batch = _packed(owners[a : a + 1000], elements[a : a + 1000], 64).to_pydict()
+        for bucket, counted, raw in zip(batch["bucket"], batch["counted"], batch["data"], strict=True):
+            if counted:
+                for o, c in np.frombuffer(raw, "<i8").reshape(2, -1).T.tolist():
+                    got[o] = got.get(o, 0) + c
+            else:
+                buckets.setdefault(bucket, []).append(raw)
+    for parts in buckets.values():
+        for o, c in np.stack(_holders(parts)).T.tolist():
+            got[o] = got.get(o, 0) + c
+    assert got == expected
+
+
+def test_a_quoted_passage_brings_no_sets_together(spark, documents):
+    passage = " ".join(f"p{i}" for i in range(60))
+    texts = [f"{passage} " + " ".join(f"own{d}x{i}" for i in range(40)) for d in range(40)]
+    near = [f"{t} end" for t in texts[:3]]
+    rows = documents(*texts, *near).select("doc_id", F.col("text"))
+    kept = _shared_counts(rows, 5, 80, 64).where("shared >= 77").count()
+    assert kept == 6
+    elements = _elements(rows.where("doc_id in (1, 2, 3, 41, 42, 43)"), 5, 80)
+    labels = components(_meetings(elements))
+    assert labels.groupBy("label").count().count() == 3
