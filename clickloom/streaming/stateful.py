@@ -15,16 +15,26 @@ PANE = "10 seconds"
 _STATE = {
     # State on disk, not in the heap.
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # A batch stores what it changed; whole states are stored in the background.
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     # Expired state is found when the next rows come. Batches without rows would never end a run over what is there.
     "spark.sql.streaming.noDataMicroBatches.enabled": "false",
 }
+_STORES = "spark.sql.shuffle.partitions"
+# Executors may still be on their way when a stream begins.
+_FEWEST_STORES = 12
 
 
 @contextmanager
 def state_settings(spark: SparkSession) -> Iterator[None]:
     """Settings of streams started inside; a query holds to them as long as it runs."""
-    before = {name: spark.conf.get(name, None) for name in _STATE}
-    for name, value in _STATE.items():
+    # Every batch opens and commits the store of every partition, with rows for it or not, and writes files for each: no more
+    # of them than cores. A checkpoint keeps the number that it began with.
+    cores = max(_FEWEST_STORES, spark.sparkContext.defaultParallelism)
+    stores = min(int(spark.conf.get(_STORES)), cores)
+    settings = _STATE | {_STORES: str(stores)}
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
         spark.conf.set(name, value)
     try:
         yield

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import time
 from collections import Counter
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -18,6 +18,7 @@ from clickloom.streaming import (
     start_ad_stream,
     start_upsert,
 )
+from clickloom.streaming.screen import BUCKETS
 
 DAY = 86_400_000
 DAY1 = 1_704_067_200_000  # 2024-01-01T00:00:00Z
@@ -286,3 +287,72 @@ def test_threshold_counts_days_and_ads_apart(spark):
     assert [r.user_id for r in ads.ad_blacklist(ads.daily_user_ad_clicks(clicks), 3).collect()] == [2]
     kept = ads.drop_blacklisted(clicks, spark.createDataFrame([(2,)], "user_id bigint"))
     assert kept.count() == 3
+
+
+def click_files(spark, folders, *batches):
+    """Clicks (ts, date, province, city, user_id, ad_id) as a stream, one file and batch each."""
+    schema = "ts timestamp, date string, province string, city string, user_id bigint, ad_id bigint"
+    for rows in batches:
+        frame = spark.createDataFrame([(None if r[0] is None else datetime.fromtimestamp(r[0]), *r[1:]) for r in rows], schema)
+        frame.coalesce(1).write.mode("append").parquet(str(folders / "clicks"))
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(folders / "clicks"))
+
+
+def test_states_do_not_grow_with_the_users(spark, folders):
+    """State rows and output frames are one per bucket and day; partitions are no more than cores."""
+    days = [[(d * 86_400 + u, f"d{d}", "p", "c", u, u % 3) for u in range(3000)] for d in range(2)]
+    clicks = click_files(spark, folders, *days)
+    job = AdClickStream(spark, str(folders / "state"), 3)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        queries = start_ad_stream(clicks, job, str(folders / "checkpoint"), available_now=True, tables=())
+        queries.awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    states = [p.stateOperators[0] for p in queries.screen.recentProgress if p.numInputRows]
+    assert len(states) == 2 and all(s.numShufflePartitions <= 12 for s in states)
+    assert 0 < states[-1].numRowsTotal <= 2 * BUCKETS
+    assert job.clean_clicks().count() == 6000
+    assert job.user_ad_counts().agg(F.sum("click_count"), F.count("*")).first()[:] == (6000, 6000)
+    assert job.blacklist().count() == 0
+
+
+def test_nulls_and_large_ids_pass_the_screen_unchanged(spark, folders):
+    large = 2**62 + 1
+    one = [
+        (0.000001, "d1", "p", None, large, large),
+        (None, "d1", None, "c", large, large),
+        (1, "d1", "p", "c", large + 1, None),
+        (1, "d1", "p", "c", large + 1, 0),
+        (2, None, "p", "c", None, 5),
+        (2, None, "p", "c", None, 5),
+        (3, "d1", "p", "c", 0, 5),
+    ]
+    two = [
+        (4, "d1", "p", "c", large, large),
+        (4, "d1", "p", "c", large + 1, None),
+        (5, None, "p", "c", None, 5),
+        (6, "d1", "p", "c", 0, 5),
+    ]
+    three = [(7, "d1", "p", "c", u, 9) for u in (large, large + 1, None, 0)]
+    clicks = click_files(spark, folders, one, two, three)
+    job = AdClickStream(spark, str(folders / "state"), 3)
+    start_ad_stream(clicks, job, str(folders / "checkpoint"), available_now=True, tables=()).awaitTermination()
+    assert bag(job.blacklist()) == Counter({(large, 1): 1, (None, 1): 1})
+    # The third batch has no click of the two that were banned in the second.
+    passed = one + two + [three[1], three[3]]
+    seconds = F.expr("unix_micros(ts) / 1e6")
+    found = bag(job.clean_clicks().withColumn("ts", seconds), ["ts", "date", "province", "city", "user_id", "ad_id"])
+    assert found == Counter(passed)
+    assert bag(job.user_ad_counts(), ["date", "user_id", "ad_id", "click_count"]) == Counter(
+        {
+            ("d1", large, large, 3): 1,
+            ("d1", large + 1, None, 2): 1,
+            ("d1", large + 1, 0, 1): 1,
+            (None, None, 5, 3): 1,
+            ("d1", 0, 5, 2): 1,
+            ("d1", large + 1, 9, 1): 1,
+            ("d1", 0, 9, 1): 1,
+        }
+    )
