@@ -32,6 +32,8 @@ TASK = 1
 SEED = "7"
 TOTAL = 100
 THRESHOLD = 3
+# Most files of a stream's batch.
+BATCH_FILES = 1000
 FLOW = (0, 1, 2, 3)
 # Covers every row of the sample tables.
 WHOLE = ("2000-01-01", "2099-12-31")
@@ -403,7 +405,7 @@ def _ad_trend_last_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streams: replay of the whole table, the result is the final state ----------
 
 
-def _click_stream(spark: SparkSession, sf_dir: str, path: str, files: int = 1000) -> DataFrame:
+def _click_stream(spark: SparkSession, sf_dir: str, path: str, files: int = BATCH_FILES) -> DataFrame:
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
     events = spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path)
     return fx.ad_clicks_from(events, fx.city_info(spark, sf_dir))
@@ -432,13 +434,20 @@ def _ad_trend_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored_counts(spark, counts, ["date", "hour", "minute", "ad_id"], "trend")
 
 
-def _arrivals(spark: SparkSession, sf_dir: str, path: str, days: int) -> Iterator[int]:
-    """Write the month's events as files of ``days`` days each, one after the other."""
+def _arrivals(spark: SparkSession, sf_dir: str, path: str, days: int, files: int = 1) -> Iterator[int]:
+    """Write the month's events in parts of ``days`` days each, one after the other, a part as up to ``files`` files."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     last = 30 // days - 1
-    arrival = F.least(F.call_function("div", F.day("ts") - 1, F.lit(days)), F.lit(last))
+    arrival = F.least(F.call_function("div", F.day("ts") - 1, F.lit(days)), F.lit(last)).cast("int")
+    # The table is read once; each part then reads its own rows.
+    dealt = f"{work_dir(spark, 'dealt')}/events"
+    rows = events.withColumn("_arrival", arrival)
+    rows.write.partitionBy("_arrival").parquet(dealt)
+    parts = spark.read.schema(rows.schema).parquet(dealt)
     for number in range(last + 1):
-        events.where(arrival == number).coalesce(1).write.mode("append").parquet(path)
+        part = parts.where(F.col("_arrival") == number).drop("_arrival").coalesce(files)
+        # Small row groups: a stream reads a file in several tasks.
+        part.write.mode("append").option("parquet.block.size", 4 << 20).parquet(path)
         yield number
 
 
@@ -473,7 +482,8 @@ def _replay(spark: SparkSession, sf_dir: str, *tables: str) -> AdClickStream:
     """The job over three arrivals of ten days each, restarted from its checkpoint every time."""
     work = work_dir(spark, "replay")
     job = AdClickStream(spark, f"{work}/state", threshold=THRESHOLD)
-    for _ in _arrivals(spark, sf_dir, f"{work}/arrivals", 10):
+    # An arrival is one batch, in no more files than a batch takes.
+    for _ in _arrivals(spark, sf_dir, f"{work}/arrivals", 10, files=BATCH_FILES):
         clicks = _click_stream(spark, sf_dir, f"{work}/arrivals")
         queries = start_ad_stream(clicks, job, f"{work}/checkpoint", available_now=True, tables=tables)
         queries.awaitTermination()

@@ -7,6 +7,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from clickloom.checks.registry import _arrivals
 from clickloom.operators import ads
 from clickloom.sources import ad_log_rejects, ad_stream, parse_ad_log
 from clickloom.streaming import (
@@ -356,3 +357,22 @@ def test_nulls_and_large_ids_pass_the_screen_unchanged(spark, folders):
             ("d1", 0, 9, 1): 1,
         }
     )
+
+
+def test_arrivals_are_written_in_parallel(spark, tmp_path):
+    """An arrival may have a file per task; with one file each, arrivals come in the order of their days."""
+    rows = spark.range(3000).selectExpr(
+        "id as event_id", "timestamp_seconds(1704067200 + id % 30 * 86400) as ts", "id % 7 as user_id"
+    )
+    rows.repartition(4).write.parquet(str(tmp_path / "events.parquet"))
+
+    def files(name, days, **most):
+        arrived = _arrivals(spark, str(tmp_path), str(tmp_path / name), days, **most)
+        return [len([*(tmp_path / name).glob("*.parquet")]) for _ in arrived]
+
+    assert files("one", 1) == [*range(1, 31)]
+    assert 3 < files("many", 10, files=3)[-1] <= 9
+    for name in ("many", "one"):
+        assert bag(spark.read.parquet(str(tmp_path / name))) == bag(rows)
+    files = sorted((tmp_path / "one").glob("*.parquet"), key=lambda f: f.stat().st_mtime)
+    assert [spark.read.parquet(str(f)).selectExpr("max(day(ts))").first()[0] for f in files] == [*range(1, 31)]
