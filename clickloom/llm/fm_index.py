@@ -57,9 +57,13 @@ class FMIndex:
         count = int(symbols.max()) + 1
         rank, step = symbols.astype(np.int64), 1
         while step < depth:
-            following = np.concatenate([rank[step:], np.zeros(min(step, len(rank)), np.int64)])
-            rank = np.unique(rank * (int(rank.max()) + 1) + following[: len(rank)], return_inverse=True)[1]
-            step *= 2
+            # As many ranks in a row as one integer takes, at least two.
+            base, codes, many = int(rank.max()) + 1, rank, 1
+            while many * step < depth and (many < 2 or base ** (many + 1) < 1 << 63):
+                following = np.append(rank[many * step :], np.zeros(min(many * step, len(rank)), np.int64))
+                codes, many = codes * base + following, many + 1
+            rank = np.unique(codes, return_inverse=True)[1]
+            step *= many
         self.order = np.argsort(rank, kind="stable")
         self.before = np.concatenate([[0], np.cumsum(np.bincount(symbols, minlength=count))])
         self.matrix = WaveletMatrix(symbols[self.order - 1], count)

@@ -19,12 +19,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.llm.fm_index import FMIndex
 from clickloom.llm.ngram_join import in_chunks
-from clickloom.llm.shingles import gram_hashes, mix, word_hashes
+from clickloom.llm.shingles import gram_hashes, mix, place_hashes, word_places
 from clickloom.llm.shipping import ship_package
 from clickloom.llm.tables import stored
 
@@ -33,10 +34,12 @@ ANCHOR = 5
 #: Anchors of more documents are split into their windows.
 COMMON = 1000
 SHARD_WORDS = 1_000_000
-SEEN = 100_000
+SEEN = 1_000_000
 PATTERNS = 1 << 18
 SEGMENT_PLACES = "key long, content long, doc_id long, start int"
 SEGMENT_WORDS = "key long, content long, doc_id long, words binary"
+#: All white space as spaces.
+_PLAIN = bytes.maketrans(b"\t\n\v\f\r", b" " * 5)
 
 
 def _texts(batch: pa.RecordBatch) -> list[bytes]:
@@ -44,26 +47,31 @@ def _texts(batch: pa.RecordBatch) -> list[bytes]:
 
 
 class Windows:
-    """All windows of some texts with the place and the hash of each one's anchor, in order."""
+    """All windows of some texts with the hash of each one's anchor, in order."""
 
     def __init__(self, texts: list[bytes]):
-        self.words, counts = word_hashes(texts, lower=False)
+        self.raw, self.starts, self.ends, counts = word_places(texts)
+        self.words = place_hashes(self.raw, self.starts, self.ends, lower=False)
         self.begin = np.cumsum(counts) - counts
-        count = max(0, len(self.words) - WINDOW + 1)
-        owner = np.repeat(np.arange(len(texts)), counts)
-        at = np.flatnonzero(owner[:count] == owner[len(owner) - count :])
+        sizes = np.maximum(counts - WINDOW + 1, 0)
+        self.owner = np.repeat(np.arange(len(texts)), sizes)
+        self.at = np.arange(len(self.owner)) + np.repeat(self.begin - (np.cumsum(sizes) - sizes), sizes)
         grams = gram_hashes(self.words, ANCHOR)
-        least, place = grams[:count].copy(), np.arange(count)
-        for k in range(1, WINDOW - ANCHOR + 1):
-            less = grams[k : k + count] < least
-            least[less] = grams[k : k + count][less]
-            place[less] = np.flatnonzero(less) + k
-        self.at, self.place, self.anchor = at, place[at], least[at]
-        self.owner = owner[at]
+        # The least of 2, 4, ... neighbours is that of two halves, and a window's that of two such runs that cover it.
+        span, least, run = WINDOW - ANCHOR + 1, grams, 1
+        while 2 * run <= span:
+            least, run = np.minimum(least[:-run], least[run:]), 2 * run
+        count = max(0, len(grams) - span + 1)
+        least = np.minimum(least[:count], least[span - run :][:count])
+        self.anchor = least[self.at]
+        # The first of the least grams changes when it falls out or the new last gram is less.
+        moved = np.ones(count, bool)
+        moved[1:] = (grams[:count] == least)[:-1] | (grams[span:] < least[:-1])
+        self.moved = moved[self.at]
 
     def new(self) -> np.ndarray:
         """Which windows have another anchor place than the window before."""
-        return np.append(True, self.place[1:] != self.place[:-1])[: len(self.place)]
+        return self.moved | np.append(True, self.owner[1:] != self.owner[:-1])[: len(self.owner)]
 
     def hashes(self, places: np.ndarray) -> np.ndarray:
         """Hashes of the windows at ``places``."""
@@ -72,6 +80,13 @@ class Windows:
             total = mix(total + self.words[places + k] + np.uint64(k + 1))
         return total
 
+    def texts(self, starts: np.ndarray, stops: np.ndarray) -> Iterator[bytes]:
+        """The words from the windows at ``starts`` to those at ``stops``, joined by one space."""
+        raw = self.raw.translate(_PLAIN)
+        for a, b in zip(self.starts[starts].tolist(), self.ends[stops + WINDOW - 1].tolist(), strict=True):
+            part = raw[a:b]
+            yield b" ".join(part.split()) if b"  " in part else part
+
 
 def _cut_windows(batch: pa.RecordBatch) -> Iterator[tuple[int, list[bytes], Windows]]:
     """(place of the first text in the batch, texts, windows) for chunks of a batch."""
@@ -140,6 +155,30 @@ def _shared(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(pick, "doc_id long, anchor long, common boolean")
 
 
+class Seen:
+    """The least document of contents that came, of the last ``SEEN`` or so."""
+
+    def __init__(self):
+        self.held = self.keys = self.docs = np.zeros(0, np.int64)
+
+    def add(self, keys: np.ndarray, contents: np.ndarray, docs: np.ndarray) -> np.ndarray:
+        """The rows of the least document of each content, but for those that came before with no larger one."""
+        order = np.lexsort((docs, keys, contents))
+        own, key = contents[order], keys[order]
+        rows = order[np.append(True, (own[1:] != own[:-1]) | (key[1:] != key[:-1]))[: len(order)]]
+        if len(self.held):
+            at = np.minimum(np.searchsorted(self.held, contents[rows]), len(self.held) - 1)
+            old = (self.held[at] == contents[rows]) & (self.keys[at] == keys[rows]) & (self.docs[at] <= docs[rows])
+            rows = rows[~old]
+        if len(self.held) > SEEN:
+            self.held = self.keys = self.docs = np.zeros(0, np.int64)
+        # The first of equal contents is kept, so a smaller document takes the place of a larger one.
+        self.held, first = np.unique(np.concatenate([contents[rows], self.held]), return_index=True)
+        self.keys = np.concatenate([keys[rows], self.keys])[first]
+        self.docs = np.concatenate([docs[rows], self.docs])[first]
+        return rows
+
+
 def _segments(docs: DataFrame, shared: DataFrame, words: bool) -> DataFrame:
     """Places (key, content, doc_id, start) of every segment of the documents, or with ``words`` its least document and words.
 
@@ -151,31 +190,19 @@ def _segments(docs: DataFrame, shared: DataFrame, words: bool) -> DataFrame:
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[tuple[int, int], int] = {}
-
-        def unseen(texts: list[bytes], windows: Windows, columns: Iterator[tuple]) -> Iterator[tuple]:
-            split_text, split = -1, []
-            for key, content, doc, owner, a, b in columns:
-                best = seen.get((key, content))
-                if best is not None and best <= doc:
-                    continue
-                if len(seen) >= SEEN:
-                    seen.clear()
-                seen[key, content] = doc
-                if owner != split_text:
-                    split_text, split, begin = owner, texts[owner].split(), int(windows.begin[owner])
-                yield key, content, doc, b" ".join(split[a - begin : b - begin + WINDOW])
-
+        seen = Seen()
         for batch in batches:
             ids = batch["doc_id"].to_numpy()
             # An anchor of any document of the batch is in the lists of all documents that have it.
             listed = batch["anchors"].flatten().to_numpy()
             often = batch["common"].flatten().to_numpy(zero_copy_only=False).astype(bool)
-            known, often = np.unique(listed).view(np.uint64), np.unique(listed[often]).view(np.uint64)
+            known, often = np.unique(listed.view(np.uint64)), np.unique(listed[often].view(np.uint64))
             for done, texts, found in _cut_windows(batch):
-                wanted = np.isin(found.anchor, known)
-                split = np.isin(found.anchor, often)
                 new = found.new()
+                # Windows of one anchor place are alike.
+                runs = np.flatnonzero(new)
+                anchors, sizes = found.anchor[runs], np.diff(np.append(runs, len(new)))
+                wanted, split = (np.repeat(_among(anchors, x), sizes) for x in (known, often))
                 after = np.append(new[1:] | split[1:], True)[: len(new)]
                 first, last = np.flatnonzero(wanted & (new | split)), np.flatnonzero(wanted & after)
                 starts, stops, owner = found.at[first], found.at[last], found.owner[first]
@@ -185,10 +212,9 @@ def _segments(docs: DataFrame, shared: DataFrame, words: bool) -> DataFrame:
                 keys = np.where(split[first], head, found.anchor[first]).view(np.int64)
                 docs_ = ids[done + owner]
                 if words:
-                    places = (keys, contents, docs_, owner, starts, stops)
-                    out = list(unseen(texts, found, zip(*(x.tolist() for x in places), strict=True)))
-                    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-                    columns = [pa.array([row[i] for row in out], kind) for i, kind in enumerate(kinds)]
+                    least = seen.add(keys, contents, docs_)
+                    columns = [pa.array(x[least]) for x in (keys, contents, docs_)]
+                    columns.append(pa.array(list(found.texts(starts[least], stops[least])), pa.binary()))
                     yield pa.RecordBatch.from_arrays(columns, names=["key", "content", "doc_id", "words"])
                 else:
                     begins = (starts - found.begin[owner]).astype(np.int32)
@@ -198,14 +224,24 @@ def _segments(docs: DataFrame, shared: DataFrame, words: bool) -> DataFrame:
     return rows.mapInArrow(cut, SEGMENT_WORDS if words else SEGMENT_PLACES)
 
 
-def first_documents(segments: list[bytes], docs: list[int]) -> list[np.ndarray]:
-    """For every window of every segment the least of the documents that hold it, by search in one FM-index."""
-    ids: dict[bytes, int] = {}
-    split = [s.split() for s in segments]
-    symbols = np.fromiter(
-        (x for words in split for x in (*(ids.setdefault(w, len(ids) + 1) for w in words), 0)), np.int64
-    )
-    lengths = np.array([len(w) for w in split])
+def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which values are in the sorted array ``known``."""
+    if not len(known):
+        return np.zeros(len(values), bool)
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
+
+
+def first_documents(segments: list[bytes], docs: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """The least document that holds each window of all segments in a row, and the number of windows of each segment.
+
+    All windows are searched in one FM-index. A segment is its words, joined by one space.
+    """
+    split = pc.split_pattern(pa.array(segments, pa.large_binary()), " ")
+    lengths = np.diff(split.offsets.to_numpy())
+    # Words are numbered from 1; 0 ends a segment.
+    ids = split.flatten().dictionary_encode().indices.to_numpy()
+    symbols = np.zeros(len(ids) + len(segments), np.int64)
+    symbols[np.arange(len(ids)) + np.repeat(np.arange(len(segments)), lengths)] = ids + np.int64(1)
     windows = lengths - WINDOW + 1
     begin = np.cumsum(lengths + 1) - lengths - 1
     at = np.repeat(begin - (np.cumsum(windows) - windows), windows) + np.arange(windows.sum())
@@ -222,7 +258,7 @@ def first_documents(segments: list[bytes], docs: list[int]) -> list[np.ndarray]:
     highs[which] = high
     borders = np.stack([lows, highs], axis=1).ravel()
     least = np.minimum.reduceat(np.append(owner, np.iinfo(np.int64).max), borders)[::2]
-    return np.split(least[which], np.cumsum(windows)[:-1])
+    return least[which], windows
 
 
 def _firsts(segments: DataFrame) -> DataFrame:
@@ -233,9 +269,9 @@ def _firsts(segments: DataFrame) -> DataFrame:
         size, last = 0, None
 
         def found() -> pa.RecordBatch:
-            firsts = first_documents([w for w, _ in held.values()], [d for _, d in held.values()]) if held else []
-            offsets = np.concatenate([[0], np.cumsum([len(x) for x in firsts])]).astype(np.int32)
-            flat = np.concatenate(firsts) if firsts else np.zeros(0, np.int64)
+            none = np.zeros(0, np.int64), np.zeros(0, np.int64)
+            flat, windows = first_documents([w for w, _ in held.values()], [d for _, d in held.values()]) if held else none
+            offsets = np.append(0, np.cumsum(windows)).astype(np.int32)
             keys = [k for k, _ in held]
             contents = [c for _, c in held]
             return pa.RecordBatch.from_arrays(
@@ -248,7 +284,8 @@ def _firsts(segments: DataFrame) -> DataFrame:
             )
 
         for batch in batches:
-            for key, content, doc, words in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            numbers = [batch[c].to_numpy().tolist() for c in ("key", "content", "doc_id")]
+            for key, content, doc, words in zip(*numbers, batch["words"].to_pylist(), strict=True):
                 if size >= SHARD_WORDS and key != last:
                     yield found()
                     held.clear()

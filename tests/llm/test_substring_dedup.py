@@ -1,11 +1,13 @@
 from __future__ import annotations
 
 import hashlib
+import sys
 
 import numpy as np
 
 from clickloom.llm.fm_index import FMIndex
-from clickloom.llm.substring_dedup import remove_repeats
+from clickloom.llm.shingles import word_hashes
+from clickloom.llm.substring_dedup import Seen, first_documents, remove_repeats
 
 from .samples import sentences, varied, words
 
@@ -79,3 +81,47 @@ def test_search_ranges():
             whole = [j for j in range(len(symbols) - 5) if tuple(symbols[j : j + 6]) == own]
             # A settled search may name the one place by a later suffix of the pattern.
             assert places == whole or (settle and len(places) == len(whole) == 1 and 0 < places[0] - whole[0] < 6)
+
+
+def calls(function, *args):
+    """How many functions, Python's or built-in ones, a call runs."""
+    count = 0
+
+    def tell(frame, event, arg):
+        nonlocal count
+        count += event in ("call", "c_call")
+
+    sys.setprofile(tell)
+    try:
+        function(*args)
+    finally:
+        sys.setprofile(None)
+    return count
+
+
+def test_search_takes_no_step_for_every_word():
+    segments = [sentences(i, 400).encode() for i in range(100)]
+    assert calls(first_documents, segments, list(range(100))) < 100 * 400 // 5
+
+
+def test_words_of_any_length_are_told_apart():
+    own = [b"a" * n for n in range(1, 40)] + [b"a" * n + b"b" for n in range(40)] + [b"\x00", b"\x00\x00", "é".encode()]
+    text = b"\t".join(own) + b" " + b"\n\n".join(reversed(own))
+    hashes, counts = word_hashes([b"", text, b" ", b"a" * 20], lower=False)
+    assert counts.tolist() == [0, 2 * len(own), 0, 1]
+    there, back, last = hashes[: len(own)].tolist(), hashes[len(own) : -1].tolist(), hashes[-1]
+    assert there == back[::-1] and len(set(there)) == len(own) and last == there[19]
+
+
+def test_contents_pass_once_unless_of_a_smaller_document():
+    seen = Seen()
+    one, two = np.array([1, 1, 2, 1]), np.array([5, 5, 7, 6])
+    assert sorted(seen.add(one, two, np.array([8, 7, 9, 7]))) == [1, 2, 3]
+    assert sorted(seen.add(one, two, np.array([6, 7, 9, 9]))) == [0]
+    assert len(seen.add(one[:0], two[:0], two[:0])) == 0
+
+
+def test_spaces_of_any_kind_do_not_part_equal_passages(spark, documents):
+    shared = sentences("spaces", 30)
+    texts = [f"x {shared}", f"\n{shared.replace(' ', '  ')}\t", f"y\r\n{shared.replace(' ', ' \t')}", "\f".join(shared.split())]
+    assert result(documents(*texts)) == brute(list(enumerate(texts, 1)))
