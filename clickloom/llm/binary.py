@@ -88,7 +88,7 @@ def write_tokens(
                 files, at = _open(uri)
                 files.create_dir(at.rpartition("/")[0], recursive=True)
                 out = files.open_output_stream(at)
-            for ids in coder.encode(batch["text"].to_pylist()):
+            for ids in coder.encode(batch["text"]):
                 out.write(ids + end)
                 lengths.append(len(ids) // coder.dtype.itemsize + 1)
             n_null += batch["doc_id"].null_count

@@ -37,7 +37,7 @@ def tokenized(docs: DataFrame, tokenizer: str, end_id: int, doc_id: str, text: s
         end = np.array([end_id], coder.dtype).tobytes()
         width = coder.dtype.itemsize
         for batch in batches:
-            ids = [x + end for x in coder.encode(batch["text"].to_pylist())]
+            ids = [x + end for x in coder.encode(batch["text"])]
             counts = np.array([len(x) // width for x in ids], np.int64)
             starts = before + np.cumsum(counts) - counts
             before += int(counts.sum())

@@ -6,8 +6,11 @@ import json
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 # The code points of the Unicode property White_Space.
 WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -16,7 +19,8 @@ LETTERS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f"
 SIGNS = r"!-&(-/:-@\[-`{-~"
 CACHED_PIECES = 600_000
 CACHED_LENGTH = 48
-BATCH_CHARS = 1_000_000
+BATCH_BYTES = 20_000_000
+BATCH_WORDS = 500_000
 
 
 def _byte_alphabet() -> list[str]:
@@ -31,11 +35,14 @@ class Encoder:
 
     Such a pre-tokenizer never joins characters across the places where ``PIECE`` cuts, so a text's ids are those of
     its pieces in a row. A run of letters or of signs that ends before another kind is one word of the model, which then encodes
-    it directly. Texts holding an added token's string are encoded whole.
+    it directly. It cuts before every space, but for one with white space before it and white space or nothing after it. So
+    a text is split at its spaces, each distinct word of many texts is cut into pieces once, and a text with such a space is cut as one
+    word. Texts holding an added token's string are encoded whole.
     """
 
     WORD = f" ?[{LETTERS}]+(?=[{WHITE}!-@\\[-`{{-~]|\\Z)| ?[{SIGNS}]+(?=[{WHITE}0-9{LETTERS}]|\\Z)"
     PIECE = re.compile(f"{WORD}| ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
+    INNER = f"[{WHITE}] (?:[{WHITE}]|\\z)"
     ONE = re.compile(f" ?[{LETTERS}]+| ?[{SIGNS}]+")
 
     def __init__(self, path: str):
@@ -52,7 +59,9 @@ class Encoder:
         }
         self.added = [t["content"] for t in spec.get("added_tokens", [])]
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.cache: dict[str, bytes] = {}
+        # Pieces met since the cache was last half full, and those of the time before.
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.alphabet = dict(enumerate(_byte_alphabet()))
 
     def _encode(self, texts: list[str]) -> list[bytes]:
@@ -60,46 +69,105 @@ class Encoder:
         return [np.array(x.ids, self.dtype).tobytes() for x in found]
 
     def _encode_pieces(self, pieces: list[str]) -> dict[str, bytes]:
-        model, one, dtype = self.tokenizer.model, self.ONE, self.dtype
-        found, rest = {}, []
+        tokenize, one, space = self.tokenizer.model.tokenize, self.ONE.fullmatch, self.alphabet[32]
+        single, flat, ends, rest = [], [], [0], []
         for p in pieces:
-            if one.fullmatch(p):
-                written = p.encode().decode("latin-1").translate(self.alphabet)
-                found[p] = np.array([t.id for t in model.tokenize(written)], dtype).tobytes()
+            if one(p):
+                # Of ASCII letters and signs with a space before them only the space is written otherwise.
+                written = p.replace(" ", space) if p.isascii() else p.encode().decode("latin-1").translate(self.alphabet)
+                single.append(p)
+                flat += [t.id for t in tokenize(written)]
+                ends.append(len(flat))
             else:
                 rest.append(p)
+        raw, width = np.array(flat, self.dtype).tobytes(), self.dtype.itemsize
+        found = {p: raw[a * width : b * width] for p, a, b in zip(single, ends, ends[1:], strict=False)}
         found.update(zip(rest, self._encode(rest), strict=True))
         return found
 
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
-        """The ids of each text as little-endian bytes of ``dtype``."""
-        batch: list[str] = []
-        size = 0
-        for text in texts:
-            batch.append(text)
-            size += len(text)
-            if size >= BATCH_CHARS:
-                yield from self._encode_small(batch)
-                batch, size = [], 0
-        yield from self._encode_small(batch)
-
-    def _encode_small(self, texts: list[str]) -> Iterator[bytes]:
-        whole = [not self.in_pieces or any(t in text for t in self.added) for text in texts]
-        pieces = [None if w else self.PIECE.findall(text) for w, text in zip(whole, texts, strict=True)]
-        new = list({p for ps in pieces if ps for p in ps if p not in self.cache})
-        known = self.cache
-        if new:
-            fresh = self._encode_pieces(new)
-            if len(known) > CACHED_PIECES:
-                # What this batch needs stays; the rest is found again when it is met.
-                known = self.cache = {p: known[p] for ps in pieces if ps for p in ps if p in known}
-            long = {p: b for p, b in fresh.items() if len(p) > CACHED_LENGTH}
-            known.update(fresh)
-        for w, ps, text in zip(whole, pieces, texts, strict=True):
-            yield self._encode([text])[0] if w else b"".join(map(known.__getitem__, ps))
-        if new:
-            for p in long:
-                del known[p]
+    def _ids(self, words: list[str]) -> list[bytes]:
+        """The ids of each of some strings that the pre-tokenizer cuts like texts."""
+        young, old = self.young, self.old
+        found = list(map(young.get, words))
+        rest = []
+        for i in [i for i, ids in enumerate(found) if ids is None]:
+            word = words[i]
+            ids = found[i] = old.get(word)
+            if ids is None:
+                rest.append(i)
+            else:
+                young[word] = ids
+        cut = list(map(self.PIECE.findall, map(words.__getitem__, rest)))
+        known, new = {}, []
+        for p in set(chain.from_iterable(cut)):
+            ids = young.get(p)
+            if ids is None:
+                ids = old.get(p)
+                if ids is None:
+                    new.append(p)
+                    continue
+                young[p] = ids
+            known[p] = ids
+        fresh = self._encode_pieces(new)
+        known.update(fresh)
+        young.update((p, ids) for p, ids in fresh.items() if len(p) <= CACHED_LENGTH)
+        for i, ps in zip(rest, cut, strict=True):
+            found[i] = known[ps[0]] if len(ps) == 1 else b"".join([known[p] for p in ps])
+        if len(young) > CACHED_PIECES // 2:
+            self.young, self.old = {}, young
+        return found
+
+    def encode(self, texts: pa.Array) -> Iterator[bytes]:
+        """The ids of each text as little-endian bytes of ``dtype``; no text may be null."""
+        sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+        begin = 0
+        while begin < len(texts):
+            upto = sizes[begin - 1] if begin else 0
+            end = max(begin + 1, int(np.searchsorted(sizes, upto + BATCH_BYTES, side="right")))
+            yield from self._encode_small(texts.slice(begin, end - begin))
+            begin = end
+
+    def _encode_small(self, texts: pa.Array) -> Iterator[bytes]:
+        whole = np.full(len(texts), not self.in_pieces)
+        for token in self.added:
+            whole |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
+        odd = pc.match_substring_regex(texts, self.INNER).to_numpy(zero_copy_only=False) & ~whole
+        in_one = texts.filter(pa.array(odd)).to_pylist()
+        split = pc.split_pattern(texts.filter(pa.array(~(whole | odd))), " ")
+        starts = split.offsets.to_numpy()[:-1].astype(np.int64)
+        coded = split.flatten().dictionary_encode()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        codes = coded.indices.to_numpy().copy()
+        # The first word of a text has no space before it.
+        first, which = np.unique(codes[starts], return_inverse=True)
+        codes[starts] = len(words) + which
+        units = [" " + w for w in words] + [words[i] for i in first.tolist()]
+        found = self._ids(units + in_one)
+        in_one = iter(found[len(units) :])
+        flat = np.frombuffer(b"".join(found[: len(units)]), self.dtype)
+        counts = np.fromiter(map(len, found), np.int64, len(units)) // self.dtype.itemsize
+        plain = self._spread(flat, counts, codes, starts)
+        for i, (is_whole, is_odd) in enumerate(zip(whole.tolist(), odd.tolist(), strict=True)):
+            if is_whole:
+                yield self._encode([texts[i].as_py()])[0]
+            else:
+                yield next(in_one if is_odd else plain)
+
+    def _spread(self, flat: np.ndarray, counts: np.ndarray, codes: np.ndarray, starts: np.ndarray) -> Iterator[bytes]:
+        """The ids of each text, whose words' codes begin at ``starts``; code after code has ``counts`` ids in ``flat``."""
+        before, width = np.cumsum(counts) - counts, self.dtype.itemsize
+        starts = np.append(starts, len(codes))
+        begin = 0
+        while begin < len(starts) - 1:
+            end = max(begin + 1, int(np.searchsorted(starts, starts[begin] + BATCH_WORDS, side="right")) - 1)
+            own = codes[starts[begin] : starts[end]]
+            sizes = counts[own]
+            borders = np.append(0, np.cumsum(sizes))
+            raw = flat[np.repeat(before[own] - borders[:-1], sizes) + np.arange(borders[-1])].tobytes()
+            places = (borders[starts[begin : end + 1] - starts[begin]] * width).tolist()
+            for a, b in zip(places, places[1:], strict=False):
+                yield raw[a:b]
+            begin = end
 
 
 @lru_cache(maxsize=2)

@@ -1,16 +1,20 @@
 from __future__ import annotations
 
+import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
+from clickloom.llm import tokens
 from clickloom.llm.binary import exported
 from clickloom.llm.elias_fano import EliasFano
 from clickloom.llm.packing import pack
+from clickloom.llm.tokens import Encoder
 
-from .samples import varied
+from .samples import sentences, varied
 
 
 @pytest.fixture(scope="module")
@@ -70,3 +74,37 @@ def test_elias_fano_selects_what_was_stored(values):
     assert kept.select(0, len(values)).tolist() == values
     for i in range(0, len(values), 97):
         assert kept.select(i).tolist() == [values[i]]
+
+
+class Counted:
+    """A pattern that counts the characters it looks through."""
+
+    def __init__(self, pattern):
+        self.pattern, self.seen = pattern, 0
+
+    def findall(self, text):
+        self.seen += len(text)
+        return self.pattern.findall(text)
+
+
+def test_words_that_come_often_are_cut_once(tokenizer, encode):
+    coder = Encoder(tokenizer)
+    coder.PIECE = Counted(coder.PIECE)
+    texts = [f"{sentences(i, 300)}, done." for i in range(40)]
+    got = [np.frombuffer(ids, coder.dtype).tolist() for ids in coder.encode(pa.array(texts))]
+    assert [[*ids, 2] for ids in got] == [encode(text, 2) for text in texts]
+    assert coder.PIECE.seen < sum(map(len, texts)) // 5
+
+
+@pytest.mark.parametrize("batch", [1 << 20, 40])
+def test_white_space_of_any_kind_is_coded_as_the_library_does(tokenizer, encode, monkeypatch, batch):
+    monkeypatch.setattr(tokens, "BATCH_BYTES", batch)
+    monkeypatch.setattr(tokens, "BATCH_WORDS", batch // 10)
+    monkeypatch.setattr(tokens, "CACHED_PIECES", batch)
+    signs = [" ", " ", "  ", "\n", "\t", "\xa0", " ", "a", "it's", "w.", "12", "é", "日本", "<|endoftext|>", "x" * 60]
+    pick = random.Random(4)
+    texts = ["", " ", "  ", " a", "a ", "a  b", "a   b", "a\n b", "a \n", "a\n  b"]
+    texts += ["".join(pick.choice(signs) for _ in range(pick.randrange(20))) for _ in range(2000)]
+    coder = Encoder(tokenizer)
+    got = [np.frombuffer(ids, coder.dtype).tolist() for ids in coder.encode(pa.array(texts))]
+    assert [[*ids, 2] for ids in got] == [encode(text, 2) for text in texts]
