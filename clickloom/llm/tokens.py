@@ -19,7 +19,7 @@ LETTERS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f"
 SIGNS = r"!-&(-/:-@\[-`{-~"
 CACHED_PIECES = 600_000
 CACHED_LENGTH = 48
-BATCH_BYTES = 20_000_000
+BATCH_BYTES = 8_000_000
 BATCH_WORDS = 500_000
 
 
