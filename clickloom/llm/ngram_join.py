@@ -17,7 +17,7 @@ have no component; an empty table gives an empty table; other columns are not re
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +44,12 @@ COUNTS = "doc_id long, shared long"
 ELEMENTS = "node long, least long, element long"
 
 
-def in_chunks(texts: list[bytes]) -> Iterator[list[bytes]]:
+def texts_of(batch: pa.RecordBatch) -> Iterator[bytes]:
+    """The texts of a batch one after the other; a list of them would take the batch's memory again."""
+    return (text.as_py() for text in batch["text"].cast(pa.binary()))
+
+
+def in_chunks(texts: Iterable[bytes]) -> Iterator[list[bytes]]:
     """Runs of texts of about ``BATCH_BYTES``; a longer text is a run of its own."""
     chunk: list[bytes] = []
     size = 0
@@ -58,7 +63,7 @@ def in_chunks(texts: list[bytes]) -> Iterator[list[bytes]]:
         yield chunk
 
 
-def shingle_sets(texts: list[bytes], n: int) -> Iterator[np.ndarray]:
+def shingle_sets(texts: Iterable[bytes], n: int) -> Iterator[np.ndarray]:
     """The sorted set of n-gram hashes of each text, words in lower case."""
     for chunk in in_chunks(texts):
         words, counts = word_hashes(chunk, lower=True)
@@ -136,7 +141,7 @@ def _sized(docs: DataFrame, n: int) -> DataFrame:
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts, first, second = [], [], []
-            for s in shingle_sets(batch["text"].cast(pa.binary()).to_pylist(), n):
+            for s in shingle_sets(texts_of(batch), n):
                 counts.append(len(s))
                 first.append(set_hash(s))
                 second.append(set_hash(s ^ np.uint64(0x5851F42D4C957F2D)))
@@ -219,7 +224,7 @@ def _shared_counts(docs: DataFrame, n: int, percent: int, buckets: int) -> DataF
             return _packed(ids, np.concatenate(found), buckets)
 
         for batch in batches:
-            sets = shingle_sets(batch["text"].cast(pa.binary()).to_pylist(), n)
+            sets = shingle_sets(texts_of(batch), n)
             for doc, s in zip(batch["doc_id"].to_pylist(), sets, strict=True):
                 if len(s) < least:
                     continue
@@ -261,7 +266,7 @@ def _elements(docs: DataFrame, n: int, percent: int) -> DataFrame:
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for s in shingle_sets(batch["text"].cast(pa.binary()).to_pylist(), n):
+            for s in shingle_sets(texts_of(batch), n):
                 node = np.full(len(s), set_hash(s), np.uint64).view(np.int64)
                 least = np.full(len(s), -(-percent * len(s) // 100), np.int64)
                 columns = [pa.array(node), pa.array(least), pa.array(s.view(np.int64))]
@@ -314,7 +319,7 @@ def _searched(docs: DataFrame, blocks: DataFrame, n: int, percent: int) -> DataF
             return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
         for batch in batches:
-            sets = shingle_sets(batch["text"].cast(pa.binary()).to_pylist(), n)
+            sets = shingle_sets(texts_of(batch), n)
             for key, doc, own in zip(batch["unit"].to_pylist(), batch["doc_id"].to_pylist(), sets, strict=True):
                 if key != unit:
                     yield found()

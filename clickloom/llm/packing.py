@@ -21,14 +21,23 @@ from pyspark.sql import functions as F
 
 from clickloom.llm.shipping import ship_package
 from clickloom.llm.tables import block_starts, stored
-from clickloom.llm.tokens import encoder
+from clickloom.llm.tokens import BATCH_BYTES, byte_sizes, encoder, in_slices
 
+#: Bytes of ids that are cut at once; a batch of documents may hold many times as many.
+CUT_BYTES = 2_000_000
 TOKENS = "part int, before long, doc_id long, ids binary, n long"
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 )
 
 
+def sliced(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches`` in batches of at most ``most`` bytes of ``column``; a larger row is a batch of its own."""
+    for batch in batches:
+        for begin, end in in_slices(byte_sizes(batch[column]), most):
+            yield batch.slice(begin, end - begin)
+
+
 def tokenized(docs: DataFrame, tokenizer: str, end_id: int, doc_id: str, text: str) -> DataFrame:
     """(part, before, doc_id, ids, n): ids of each document with the end id, and the ids before it in its part."""
 
@@ -36,7 +45,7 @@ def tokenized(docs: DataFrame, tokenizer: str, end_id: int, doc_id: str, text: s
         coder, part, before = encoder(tokenizer), TaskContext.get().partitionId(), 0
         end = np.array([end_id], coder.dtype).tobytes()
         width = coder.dtype.itemsize
-        for batch in batches:
+        for batch in sliced(batches, "text", BATCH_BYTES):
             ids = [x + end for x in coder.encode(batch["text"])]
             counts = np.array([len(x) // width for x in ids], np.int64)
             starts = before + np.cumsum(counts) - counts
@@ -79,7 +88,7 @@ def pack(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dtype = encoder(tokenizer).dtype
-        for batch in batches:
+        for batch in sliced(batches, "ids", CUT_BYTES):
             out: dict[str, list] = {f.split()[0]: [] for f in PIECES.split(", ")} | {"ids": []}
             columns = [batch[c].to_pylist() for c in ("doc_id", "ids", "n", "at")]
             for doc, raw, n, at in zip(*columns, strict=True):

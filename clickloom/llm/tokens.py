@@ -17,10 +17,28 @@ WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 # Ranges of letters, and ASCII signs but the apostrophe, which may join a word's end.
 LETTERS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f"
 SIGNS = r"!-&(-/:-@\[-`{-~"
-CACHED_PIECES = 600_000
+CACHED_PIECES = 300_000
 CACHED_LENGTH = 48
 BATCH_BYTES = 8_000_000
 BATCH_WORDS = 500_000
+#: Distinct words that are cut and coded at once.
+CHUNK_WORDS = 50_000
+
+
+def in_slices(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Bounds of runs of rows of at most ``most`` bytes in all; a larger row is a run of its own."""
+    upto = np.cumsum(sizes, dtype=np.int64)
+    begin = 0
+    while begin < len(upto):
+        before = upto[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(upto, before + most, side="right")))
+        yield begin, end
+        begin = end
+
+
+def byte_sizes(values: pa.Array) -> np.ndarray:
+    """Bytes of each text or byte string; none may be null."""
+    return pc.binary_length(values).to_numpy(zero_copy_only=False)
 
 
 def _byte_alphabet() -> list[str]:
@@ -86,7 +104,13 @@ class Encoder:
         return found
 
     def _ids(self, words: list[str]) -> list[bytes]:
-        """The ids of each of some strings that the pre-tokenizer cuts like texts."""
+        """The ids of each of some strings that the pre-tokenizer cuts like texts, ``CHUNK_WORDS`` at a time."""
+        found = []
+        for a in range(0, len(words), CHUNK_WORDS):
+            found += self._ids_of_chunk(words[a : a + CHUNK_WORDS])
+        return found
+
+    def _ids_of_chunk(self, words: list[str]) -> list[bytes]:
         young, old = self.young, self.old
         found = list(map(young.get, words))
         rest = []
@@ -119,13 +143,8 @@ class Encoder:
 
     def encode(self, texts: pa.Array) -> Iterator[bytes]:
         """The ids of each text as little-endian bytes of ``dtype``; no text may be null."""
-        sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
-        begin = 0
-        while begin < len(texts):
-            upto = sizes[begin - 1] if begin else 0
-            end = max(begin + 1, int(np.searchsorted(sizes, upto + BATCH_BYTES, side="right")))
+        for begin, end in in_slices(byte_sizes(texts), BATCH_BYTES):
             yield from self._encode_small(texts.slice(begin, end - begin))
-            begin = end
 
     def _encode_small(self, texts: pa.Array) -> Iterator[bytes]:
         whole = np.full(len(texts), not self.in_pieces)
@@ -142,6 +161,7 @@ class Encoder:
         first, which = np.unique(codes[starts], return_inverse=True)
         codes[starts] = len(words) + which
         units = [" " + w for w in words] + [words[i] for i in first.tolist()]
+        del split, coded, words
         found = self._ids(units + in_one)
         in_one = iter(found[len(units) :])
         flat = np.frombuffer(b"".join(found[: len(units)]), self.dtype)

@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from clickloom.llm import tokens
+from clickloom.llm import packing, tokens
 from clickloom.llm.binary import exported
 from clickloom.llm.elias_fano import EliasFano
 from clickloom.llm.packing import pack
@@ -108,3 +108,48 @@ def test_white_space_of_any_kind_is_coded_as_the_library_does(tokenizer, encode,
     coder = Encoder(tokenizer)
     got = [np.frombuffer(ids, coder.dtype).tolist() for ids in coder.encode(pa.array(texts))]
     assert [[*ids, 2] for ids in got] == [encode(text, 2) for text in texts]
+
+
+class Task:
+    """Stands for the context of the first task of a stage."""
+
+    @staticmethod
+    def get():
+        return Task()
+
+    def partitionId(self):
+        return 0
+
+
+def test_packing_takes_a_large_batch_in_small_parts(spark, documents, tokenizer, encode, monkeypatch):
+    docs = documents("x")
+    steps, run = [], type(docs).mapInArrow
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda rows, f, kind: steps.append(f) or run(rows, f, kind))
+    pack(docs, tokenizer)
+    monkeypatch.setattr(packing, "TaskContext", Task)
+    texts = [f"{i} {sentences(i, 3_000)}" for i in range(1_500)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1_500), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    assert batch.nbytes > 16_000_000
+    coded = list(steps[0](iter([batch])))
+    ids = pa.Table.from_batches(coded)
+    assert max(b["ids"].nbytes for b in coded) < ids["ids"].nbytes / 2
+    assert ids["doc_id"].to_pylist() == list(range(1_500))
+    assert ids["before"].to_pylist() == [0, *np.cumsum(ids["n"].to_numpy())[:-1].tolist()]
+    for i in (0, 700, 1_499):
+        assert np.frombuffer(ids["ids"][i].as_py(), "<u2").tolist() == encode(texts[i], 0)
+    placed = ids.rename_columns(["part", "at", *ids.column_names[2:]]).select(["doc_id", "ids", "n", "at"])
+    cut = list(steps[1](iter(placed.combine_chunks().to_batches())))
+    pieces = pa.Table.from_batches(cut)
+    assert max(b.nbytes for b in cut) < pieces.nbytes / 2
+    assert b"".join(pieces["ids"].to_pylist()) == np.frombuffer(b"".join(ids["ids"].to_pylist()), "<u2").astype("<u4").tobytes()
+
+
+def test_distinct_words_are_coded_a_part_at_a_time(tokenizer, encode):
+    coder = Encoder(tokenizer)
+    most, code = [], coder._encode_pieces
+    coder._encode_pieces = lambda pieces: most.append(len(pieces)) or code(pieces)
+    texts = [" ".join(f"w{i}x" for i in range(a, a + 40_000)) for a in range(0, 160_000, 40_000)]
+    got = [np.frombuffer(ids, coder.dtype).tolist() for ids in coder.encode(pa.array(texts))]
+    assert [[*ids, 2] for ids in got] == [encode(text, 2) for text in texts]
+    assert len(most) > 1 and max(most) <= 60_000
+    assert len(coder.young) + len(coder.old) <= 350_000
